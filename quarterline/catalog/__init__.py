@@ -4,6 +4,8 @@ from importlib import import_module
 
 _SECTIONS = [
     "flagship",
+    "scalars",
+    "filters",
 ]
 
 for _section in _SECTIONS:

@@ -211,7 +211,7 @@ WHERE rn = 1
 """
 _COMPANIES = """
 SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS firm_id, CASE WHEN n_nationkey <> 3 THEN n_name ELSE '' END AS ticker, c_name AS name
-FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 2 = 0
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0
 """
 _SPARSE = f"""
 SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS firm_id, {quarter_end_of('o_orderdate')} AS date,

@@ -68,14 +68,14 @@ def confidence_band(score: Column, margin: float = 0.05) -> tuple[Column, Column
 
 
 def money_text(amount: Column) -> Column:
-    """$24.2B, $3.1M, $500K; N/A when missing."""
+    """$24.2B, $3.1M, $500K; N/A when missing. Halves round to even."""
     size = F.abs(amount)
     sign = F.when(amount < 0, "-").otherwise("")
     body = (
-        F.when(size >= 1e9, F.format_string("$%.1fB", size / 1e9))
-        .when(size >= 1e6, F.format_string("$%.1fM", size / 1e6))
-        .when(size >= 1e3, F.format_string("$%.0fK", size / 1e3))
-        .otherwise(F.format_string("$%.0f", size))
+        F.when(size >= 1e9, F.format_string("$%.1fB", F.bround(size / 1e9, 1)))
+        .when(size >= 1e6, F.format_string("$%.1fM", F.bround(size / 1e6, 1)))
+        .when(size >= 1e3, F.format_string("$%.0fK", F.bround(size / 1e3, 0)))
+        .otherwise(F.format_string("$%.0f", F.bround(size, 0)))
     )
     return F.when(amount.isNull(), "N/A").otherwise(F.concat(sign, body))
 
