@@ -6,6 +6,9 @@ _SECTIONS = [
     "flagship",
     "scalars",
     "filters",
+    "selection",
+    "reshaping",
+    "windowing",
 ]
 
 for _section in _SECTIONS:
