@@ -9,6 +9,8 @@ _SECTIONS = [
     "selection",
     "reshaping",
     "windowing",
+    "profiling",
+    "evaluation",
 ]
 
 for _section in _SECTIONS:

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarterline.session import materialise
+
 
 def by_quarter(filings: DataFrame, filed: str, indicators: DataFrame, observed: str) -> DataFrame:
     """Left join on the calendar quarter of two dates; several observations per quarter multiply rows."""
@@ -42,11 +44,15 @@ def shared_keys(left: DataFrame, right: DataFrame, names: list[str]) -> DataFram
     return left.select(*names).intersect(right.select(*names))
 
 
-def missing_strata(df: DataFrame, split: str, stratum: str, base: str = "train") -> DataFrame:
-    """Strata of the base split that another split lacks; one row per (split, stratum)."""
-    present = df.select(split, stratum).distinct()
-    needed = present.where(F.col(split) == base).select(stratum)
-    others = present.where(F.col(split) != base).select(split).distinct()
-    # Split names are a handful of literals, strata at most sizes x sectors + other.
-    pairs = others.withColumn("_one", F.lit(1)).join(needed.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    return pairs.join(present, [split, stratum], "left_anti")
+def missing_strata(df: DataFrame, split: str, stratum: str, splits: tuple[str, ...], base: str = "train") -> DataFrame:
+    """Strata of the base split that another split lacks; one row per (stratum, split)."""
+    flags = [F.max((F.col(split) == s).cast("int")).alias(f"_in_{i}") for i, s in enumerate(splits)]
+    present = df.groupBy(stratum).agg(*flags).where(F.col(f"_in_{splits.index(base)}") == 1)
+    lacking = F.array_compact(F.array(*[F.when(F.col(f"_in_{i}") == 0, F.lit(s)) for i, s in enumerate(splits)]))
+    return present.select(stratum, F.explode(lacking).alias(split))
+
+
+def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """Materialise a derived table and mark it for broadcast only when its counted size allows."""
+    kept = materialise(df)
+    return F.broadcast(kept) if kept.count() <= rows else kept

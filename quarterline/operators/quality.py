@@ -204,7 +204,7 @@ def manifest_rules() -> dict[str, Column]:
     }
 
 
-def identity_share(df: DataFrame, tolerance: float = 1.0, relative: float = 1e-5) -> Column:
+def identity_share(tolerance: float = 1.0, relative: float = 1e-5) -> Column:
     """Share of rows where assets equal liabilities plus equity within the tolerance."""
     right = F.col("Liabilities") + F.col("StockholdersEquity")
     return F.avg((F.abs(F.col("Assets") - right) <= tolerance + relative * F.abs(right)).cast("int"))

@@ -13,7 +13,7 @@ def refresh(stored: DataFrame, fetched: DataFrame, owner: list[str], period: lis
     """Drop the owner's n newest stored periods, then add fetched rows of every period not kept.
 
     Old periods keep their stored values even when a source revises them; the newest ones are replaced.
-    Owners that are absent from the fetch keep their old periods only if they were fetched at all.
+    Owners that were not fetched stay as they are.
     """
     newest = last_periods(stored, owner, period, n)
     fetched_owners = fetched.select(*owner).distinct()
