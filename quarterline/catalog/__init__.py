@@ -11,6 +11,11 @@ _SECTIONS = [
     "windowing",
     "profiling",
     "evaluation",
+    "slicing",
+    "quality",
+    "nested",
+    "serving",
+    "decisions",
 ]
 
 for _section in _SECTIONS:

@@ -279,7 +279,7 @@ def threshold_suggestions(fair: DataFrame, metric: str = "recall_at_5pct", base:
         "slice",
         F.lit(base).alias("current_threshold"),
         suggested.alias("suggested_threshold"),
-        F.format_string(f"{metric} gap of %.4f exceeds {ALERT_GAP:.0%} threshold", "gap").alias("reason"),
+        F.format_string(f"{metric} gap of %.4f exceeds {ALERT_GAP:.0%}% threshold", "gap").alias("reason"),
     )
 
 
