@@ -16,6 +16,7 @@ _SECTIONS = [
     "nested",
     "serving",
     "decisions",
+    "storage",
 ]
 
 for _section in _SECTIONS:

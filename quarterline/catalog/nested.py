@@ -15,7 +15,10 @@ _SHAP = [f"shap_{c}" for c in X.ATTRIBUTED]
 
 
 def documents(spark, folder):
-    """Company documents (map of tags to map of units to entries), one document per firm and year."""
+    """Company documents (map of tags to map of units to entries), one per firm and block of a thousand orders.
+
+    An order has a handful of lines, so no document can grow with the data, however large its firm is.
+    """
     entry = F.struct(
         F.when(F.col("fiscal_period") == "Q4", "10-K").when(F.col("l_linenumber") == 7, "8-K").otherwise("10-Q").alias("form"),
         F.col("fiscal_period").alias("fp"),
@@ -26,9 +29,10 @@ def documents(spark, folder):
         F.date_format("filed_date", "yyyy-MM-dd").alias("filed"),
         F.concat(F.lit("L"), F.col("l_orderkey").cast("string")).alias("frame"),
     )
-    entries = X.facts(spark, folder).groupBy("firm_id", "fiscal_year", "tag").agg(F.collect_list(entry).alias("entries"))
+    facts = X.facts(spark, folder).withColumn("block", F.floor(F.col("l_orderkey") / 1000))
+    entries = facts.groupBy("firm_id", "block", "tag").agg(F.collect_list(entry).alias("entries"))
     body = F.struct(F.create_map(F.lit("USD"), F.col("entries")).alias("units"))
-    per_firm = entries.groupBy("firm_id", "fiscal_year").agg(F.map_from_entries(F.collect_list(F.struct("tag", body))).alias("tags"))
+    per_firm = entries.groupBy("firm_id", "block").agg(F.map_from_entries(F.collect_list(F.struct("tag", body))).alias("tags"))
     doc = F.to_json(F.struct(F.create_map(F.lit("us-gaap"), F.col("tags")).alias("facts")), {"ignoreNullFields": "true"})
     return per_firm.select("firm_id", doc.alias("doc"))
 
@@ -47,10 +51,10 @@ def flatten_facts(spark, folder):
 
 
 def filing_documents(spark, folder):
-    """Per firm and quarter one struct of parallel arrays, as filing listings arrive."""
+    """Per firm and block of a thousand orders one struct of parallel arrays, as filing listings arrive."""
     rows = X.facts(spark, folder)
     item = F.struct(F.col("l_orderkey").cast("string").alias("a"), "tag", F.date_format("filed_date", "yyyy-MM-dd").alias("d"))
-    listed = rows.groupBy("firm_id", "fiscal_year", "fiscal_period").agg(F.collect_list(item).alias("items"))
+    listed = rows.groupBy("firm_id", F.floor(F.col("l_orderkey") / 1000).alias("block")).agg(F.collect_list(item).alias("items"))
     recent = F.struct(
         F.transform("items", lambda x: x["a"]).alias("accessionNumber"),
         F.transform("items", lambda x: x["tag"]).alias("form"),
@@ -79,7 +83,7 @@ def zip_filings(spark, folder):
 def observations(spark, folder):
     rows = X.macro(spark, folder).join(X.table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"), "o_orderkey")
     text = F.when(F.col("o_orderstatus") == "P", ".").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
-    listed = rows.groupBy("series_id", F.year("date").alias("y")).agg(
+    listed = rows.groupBy("series_id", F.floor(F.col("o_orderkey") / 1000).alias("block")).agg(
         F.collect_list(F.struct(F.date_format("date", "yyyy-MM-dd").alias("date"), text.alias("value"))).alias("observations")
     )
     docs = listed.select("series_id", F.to_json(F.struct("observations")).alias("doc"))
@@ -116,7 +120,7 @@ def top_contributions(spark, folder):
     "b5_parse_features",
     ctes("attr", extra=_TOP)
     + f"""SELECT firm_id, fiscal_year, fiscal_period, CAST(CASE WHEN fiscal_period = 'Q4' THEN 0 ELSE 3 END AS INTEGER) AS n_features,
- CASE WHEN fiscal_period <> 'Q4' THEN max(feature) FILTER (rk = 1) END AS first_feature, CASE WHEN fiscal_period <> 'Q4' THEN {r('max(v) FILTER (rk = 1)', 6)} END AS first_value FROM attr_long GROUP BY ALL""",
+ CASE WHEN fiscal_period <> 'Q4' THEN max(feature) FILTER (rk = 1) END AS first_feature, CASE WHEN fiscal_period <> 'Q4' THEN {r('max(v) FILTER (rk = 1)', 6)} END AS first_value FROM attr_long GROUP BY firm_id, fiscal_year, fiscal_period""",
 )
 def parse_features(spark, folder):
     """Round trip through JSON text, a quarter of it damaged."""

@@ -219,9 +219,9 @@ SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS firm_id, {quarter_end_of('o_
 FROM orders GROUP BY ALL
 """
 _ATTR = """
-SELECT firm_id, fiscal_year, fiscal_period, net_income / -10000.0 AS shap_net_income, operating_cash_flow / -8000.0 AS shap_operating_cash_flow,
-  interest_expense / 9000.0 AS shap_interest_expense, (40000.0 - total_assets) / 70000.0 AS shap_total_assets,
-  (total_liabilities - 30000.0) / 60000.0 AS shap_total_liabilities, (20000.0 - total_equity) / 50000.0 AS shap_total_equity
+SELECT firm_id, fiscal_year, fiscal_period, net_income / -10007.0 AS shap_net_income, operating_cash_flow / -8009.0 AS shap_operating_cash_flow,
+  interest_expense / 9001.0 AS shap_interest_expense, (40000.0 - total_assets) / 70001.0 AS shap_total_assets,
+  (total_liabilities - 30000.0) / 60013.0 AS shap_total_liabilities, (20000.0 - total_equity) / 50021.0 AS shap_total_equity
 FROM panel
 """
 

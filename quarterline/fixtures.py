@@ -163,11 +163,11 @@ def attributions(spark: SparkSession, folder: str) -> DataFrame:
     """Wide shap_<feature> columns per firm-quarter by a fixed formula over the panel."""
     base = firm_panel(spark, folder)
     shaped = {
-        "shap_net_income": F.col("net_income") / -10000.0,
-        "shap_operating_cash_flow": F.col("operating_cash_flow") / -8000.0,
-        "shap_interest_expense": F.col("interest_expense") / 9000.0,
-        "shap_total_assets": (F.lit(40000.0) - F.col("total_assets")) / 70000.0,
-        "shap_total_liabilities": (F.col("total_liabilities") - F.lit(30000.0)) / 60000.0,
-        "shap_total_equity": (F.lit(20000.0) - F.col("total_equity")) / 50000.0,
+        "shap_net_income": F.col("net_income") / -10007.0,
+        "shap_operating_cash_flow": F.col("operating_cash_flow") / -8009.0,
+        "shap_interest_expense": F.col("interest_expense") / 9001.0,
+        "shap_total_assets": (F.lit(40000.0) - F.col("total_assets")) / 70001.0,
+        "shap_total_liabilities": (F.col("total_liabilities") - F.lit(30000.0)) / 60013.0,
+        "shap_total_equity": (F.lit(20000.0) - F.col("total_equity")) / 50021.0,
     }
     return base.select("firm_id", "fiscal_year", "fiscal_period", *[v.alias(k) for k, v in shaped.items()])
