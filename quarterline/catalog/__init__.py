@@ -17,6 +17,7 @@ _SECTIONS = [
     "serving",
     "decisions",
     "storage",
+    "modeling",
 ]
 
 for _section in _SECTIONS:

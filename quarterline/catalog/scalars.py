@@ -172,6 +172,16 @@ def zero_fill_report(spark, folder):
     return counts.unpivot([], X.FACT_TAGS, "column_name", "filled")
 
 
+@query(
+    "p17_nan_to_null",
+    "SELECT l_discount, l_tax, CASE WHEN l_discount <> 0 AND l_tax <> 0 THEN l_discount END AS cleaned, CASE WHEN l_discount <> 0 AND l_tax <> 0 THEN l_discount ELSE 0.0 END AS filled, count(*) AS lines FROM lineitem GROUP BY ALL",
+)
+def nan_to_null(spark, folder):
+    counted = X.table(spark, folder, "lineitem").groupBy("l_discount", "l_tax").agg(F.count(F.lit(1)).alias("lines"))
+    dirty = F.when(F.col("l_discount") == 0, F.lit(float("nan"))).when(F.col("l_tax") == 0, F.lit(float("-inf"))).otherwise(F.col("l_discount"))
+    return counted.withColumns({"cleaned": S.nan_to_null(dirty), "filled": S.nan_to_null(dirty, 0.0)})
+
+
 @query(
     "p18_default_columns",
     ctes("labeled")

@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 from quarterline import fixtures as X
 from quarterline.catalog.registry import query
 from quarterline.catalog.sqlparts import ctes, r
+from quarterline.catalog.nested import documents
+from quarterline.operators import quality as QU
+from quarterline.operators import slices as SL
+from quarterline.operators.nested import flatten_facts
 from quarterline.session import fresh_folder
+from quarterline.sources import reports as RP
 from quarterline.sources import tables as T
 from quarterline.streaming import drift as SD
 from quarterline.streaming import landing as ST
@@ -73,6 +78,81 @@ def replace_partitions(spark, folder):
     return spark.read.schema("o_orderkey bigint, amount double, year int").parquet(path)
 
 
+@query("a2_replace_table", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
+def replace_table(spark, folder):
+    """Written whole, then replaced by a smaller table."""
+    path = fresh_folder(spark, "replaced")
+    orders = X.table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    T.replace_table(orders, path)
+    T.replace_table(orders.where("o_orderstatus = 'F'").drop("o_orderstatus"), path)
+    return T.read_table(spark, path)
+
+
+@query("a6_table_scan", "SELECT * FROM nation")
+def table_scan(spark, folder):
+    X.table(spark, folder, "nation").createOrReplaceTempView("nation_table")
+    return spark.table("nation_table")
+
+
+@query("a8_documents", ctes("facts") + "SELECT firm_id, count(*) AS facts FROM facts WHERE NOT (fiscal_period <> 'Q4' AND l_linenumber = 7) GROUP BY firm_id")
+def raw_documents(spark, folder):
+    """Raw documents land as text per firm and are flattened from there."""
+    path = fresh_folder(spark, "documents")
+    T.write_documents(documents(spark, folder), path, ["firm_id"])
+    landed = spark.read.schema("doc string, firm_id string").text(path)
+    return flatten_facts(landed).groupBy("firm_id").agg(F.count(F.lit(1)).alias("facts"))
+
+
+@query("a10_records", ctes("scores") + "SELECT segment, count(*) AS rows, max(score) AS top FROM scores GROUP BY segment")
+def records(spark, folder):
+    path = fresh_folder(spark, "records")
+    T.write_records(X.scores(spark, folder).groupBy("segment").agg(F.count(F.lit(1)).alias("rows"), F.max("score").alias("top")), path)
+    return spark.read.schema("segment string, rows bigint, top double").json(path)
+
+
+@query("a16_report", ctes("scores") + "SELECT 'v2' AS model_version, count(*) AS row_count, 1 AS prediction_horizon FROM scores")
+def report(spark, folder):
+    path = fresh_folder(spark, "report")
+    RP.write_report(RP.manifest(X.scores(spark, folder), model_version="v2", prediction_horizon=1), path)
+    return RP.read_report(spark, path, "model_version string, row_count bigint, prediction_horizon int")
+
+
+_MANIFEST = {
+    "schema_version": "1.0",
+    "model_name": "",
+    "model_version": "2",
+    "mlflow_run_id": "run-1",
+    "trained_at": "2001-12-31T00:00:00",
+    "scored_at": "soon",
+    "roc_auc": 0.9,
+    "prediction_horizon": 0,
+    "features_used": ["roa", "roe"],
+    "gcs_scores_path": "gs://bucket/scores.csv",
+    "inference_duration_seconds": 1.5,
+}
+
+
+@query(
+    "q10_manifest_rules",
+    "SELECT unnest(['model_name is not empty', 'model_version looks like v1', 'scored_at is a time', 'prediction_horizon at least 1', 'scores path is a gs parquet path']) AS rule, CAST(least(count(*), 1) AS BIGINT) AS rows FROM orders GROUP BY ALL",
+)
+def manifest_rules(spark, folder):
+    """Broken rules of a manifest whose row count comes from the score table."""
+    return QU.findings(RP.manifest(X.scores(spark, folder), **_MANIFEST), QU.manifest_rules())
+
+
+@query("s15_retrain_flag", "SELECT 'dataset_drift' AS reason, 'l_quantity' AS drifted_features, true AS consumed WHERE (SELECT count(*) FROM lineitem) > 0")
+def retrain_flag(spark, folder):
+    """A drifted quantity raises the flag; reading it consumes it."""
+    path = fresh_folder(spark, "flag")
+    line = X.table(spark, folder, "lineitem")
+    small = F.col("l_quantity") < 25
+    decision = SL.drift_decision(SL.dataset_drift(line.where(small), line.where(~small), ["l_quantity", "l_tax"]))
+    RP.raise_flag(decision, path)
+    first, second = RP.take_flag(spark, path), RP.take_flag(spark, path)
+    return spark.createDataFrame([(first["reason"], first["drifted_features"], second is None)], "reason string, drifted_features string, consumed boolean")
+
+
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
@@ -95,8 +175,8 @@ def land_latest(spark, folder):
 
 @query(
     "x2_refresh_stream",
-    ctes("latest") + "SELECT firm_id, fiscal_year, fiscal_period, tag, CASE WHEN quarter_no > 20 - 8 THEN value * 2 ELSE value END AS value FROM ("
-    "SELECT *, dense_rank() OVER (PARTITION BY firm_id ORDER BY fiscal_year, fiscal_period) AS quarter_no FROM latest WHERE fiscal_year < 2000)"
+    ctes("latest") + "SELECT firm_id, fiscal_year, fiscal_period, tag, CASE WHEN newest <= 8 THEN value * 2 ELSE value END AS value FROM ("
+    "SELECT *, dense_rank() OVER (PARTITION BY firm_id ORDER BY fiscal_year DESC, fiscal_period DESC) AS newest FROM latest WHERE fiscal_year < 2000)"
     " UNION ALL SELECT firm_id, fiscal_year, fiscal_period, tag, value * 2 FROM latest WHERE fiscal_year >= 2000",
 )
 def refresh_stream(spark, folder):

@@ -177,6 +177,18 @@ def rank(spark, folder):
     return with_row_number(rows, [F.col("o_totalprice").desc(), F.col("o_orderkey")], "rank").select("o_orderkey", "rank")
 
 
+@query(
+    "w19_running_counts",
+    ctes("scores")
+    + """SELECT segment, score, CAST(sum(sum(label)) OVER w AS BIGINT) AS pos_upto, CAST(sum(sum(1 - label)) OVER w AS BIGINT) AS neg_upto FROM scores GROUP BY segment, score
+ WINDOW w AS (PARTITION BY segment ORDER BY score)""",
+)
+def running_counts(spark, folder):
+    from quarterline.operators import metrics
+
+    return metrics.ladder(X.scores(spark, folder), ["segment"]).select("segment", "score", "pos_upto", "neg_upto")
+
+
 @query(
     "h0a_cleaning_stage",
     ctes("inputs")
