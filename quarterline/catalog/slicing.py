@@ -9,6 +9,7 @@ from quarterline.catalog.registry import query
 from quarterline.catalog.sqlparts import ctes, r
 from quarterline.operators import slices as SL
 from quarterline.plans import features
+from quarterline.session import materialise
 
 SPLIT_YEAR, RATE_LIMIT = 1998, 4.95
 KEY = features.KEY_FEATURES
@@ -29,7 +30,9 @@ _LONG = f"{_SLICED}, long AS MATERIALIZED (SELECT dimension, slice, feature, val
 
 
 def rows_of(spark, folder):
-    return SL.sliced(X.engineered(spark, folder), SPLIT_YEAR, RATE_LIMIT)
+    """The sliced feature table; the features are a stored table because drift and statistics read it repeatedly."""
+    needed = [*features.FIRM_QUARTER, "company_size_bucket", "sector_proxy", "fed_funds", "distress_label", *KEY]
+    return SL.sliced(materialise(X.engineered(spark, folder).select(*needed)), SPLIT_YEAR, RATE_LIMIT)
 
 
 @query("s1_slices", ctes("features", extra=_SLICED) + "SELECT dimension, slice, firm_id, fiscal_year, fiscal_period FROM sliced")
@@ -302,7 +305,6 @@ def bias_report(spark, folder):
     """Slice statistics, drift, effect sizes and fairness as one long table."""
     from quarterline.catalog.evaluation import _fair
     from quarterline.operators.joins import stacked
-    from quarterline.session import materialise
 
     engineered = materialise(X.engineered(spark, folder))
     rows = SL.sliced(engineered, SPLIT_YEAR, RATE_LIMIT)

@@ -134,7 +134,7 @@ _MANIFEST = {
 
 @query(
     "q10_manifest_rules",
-    "SELECT unnest(['model_name is not empty', 'model_version looks like v1', 'scored_at is a time', 'prediction_horizon at least 1', 'scores path is a gs parquet path']) AS rule, CAST(least(count(*), 1) AS BIGINT) AS rows FROM orders GROUP BY ALL",
+    "SELECT unnest(['model_name is not empty', 'model_version looks like v1', 'scored_at is a time', 'prediction_horizon at least 1', 'scores path is a gs parquet path']) AS rule, n AS rows FROM (SELECT least(count(*), 1) AS n FROM orders)",
 )
 def manifest_rules(spark, folder):
     """Broken rules of a manifest whose row count comes from the score table."""

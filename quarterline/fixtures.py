@@ -11,6 +11,7 @@ from quarterline.functions import quarters as Q
 from quarterline.functions.scalars import zero_pad
 from quarterline.operators.dedup import keep_latest
 from quarterline.plans import cleaning, features, panel
+from quarterline.session import materialise
 
 # Tag by return flag, line status and line number modulo 3.
 TAG_OF = {
@@ -65,20 +66,21 @@ def facts(spark: SparkSession, folder: str) -> DataFrame:
         F.year("l_shipdate").alias("fiscal_year"),
         Q.period_of(F.col("l_shipdate")).alias("fiscal_period"),
         _mapped(TAG_OF, code).alias("tag"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("_price"),
-        F.col("l_discount").cast("decimal(4,2)").alias("_discount"),
-        F.col("l_tax").cast("decimal(4,2)").alias("_tax"),
+        F.rint(F.col("l_extendedprice") * 100).cast("bigint").alias("_price"),
+        F.rint(F.col("l_discount") * 100).cast("bigint").alias("_discount"),
+        F.rint(F.col("l_tax") * 100).cast("bigint").alias("_tax"),
         F.col("l_shipdate").alias("filed_date"),
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
     )
+    # Whole cents and percents keep the products exact.
     tag, price = F.col("tag"), F.col("_price")
     value = (
-        F.when(tag.isin(SIGNED_TAGS), (price * (F.col("_discount") - F.lit("0.05").cast("decimal(4,2)"))).cast("double"))
-        .when(tag.isin(SPENDING_TAGS), (price * F.col("_discount")).cast("double"))
-        .when(tag == "InterestExpense", (price * F.col("_tax")).cast("double"))
-        .otherwise(price.cast("double"))
+        F.when(tag.isin(SIGNED_TAGS), price * (F.col("_discount") - 5) / 10000.0)
+        .when(tag.isin(SPENDING_TAGS), price * F.col("_discount") / 10000.0)
+        .when(tag == "InterestExpense", price * F.col("_tax") / 10000.0)
+        .otherwise(price / 100.0)
     )
     return shaped.withColumn("value", value).drop("_price", "_discount", "_tax")
 
@@ -110,12 +112,13 @@ def labeled_panel(spark: SparkSession, folder: str, keep_signals: bool = False)
 
 
 def engineered(spark: SparkSession, folder: str) -> DataFrame:
-    return features.engineer(labeled_panel(spark, folder))
+    """Features over the labeled panel, which is a stored table between the two stages."""
+    return features.engineer(materialise(labeled_panel(spark, folder)))
 
 
 def unsized(spark: SparkSession, folder: str) -> DataFrame:
     """The engineered table with size groups by fitted cut points (no global sort)."""
-    return features.engineer(labeled_panel(spark, folder), size="cuts")
+    return features.engineer(materialise(labeled_panel(spark, folder)), size="cuts")
 
 
 def scores(spark: SparkSession, folder: str) -> DataFrame:

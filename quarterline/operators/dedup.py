@@ -11,14 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 
+def _ranked(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    # A hash in front of text keys lets the sorts compare one long instead of strings.
+    hashed = df.withColumn("_hash", F.xxhash64(*keys))
+    return hashed.withColumn("_rank", F.row_number().over(W.partitionBy("_hash", *keys).orderBy(*order)))
+
+
 def top_rows(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
-    ranked = df.withColumn("_rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
-    return ranked.where(F.col("_rank") <= n).drop("_rank")
+    return _ranked(df, keys, order).where(F.col("_rank") <= n).drop("_rank", "_hash")
 
 
 def nth_row(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
-    ranked = df.withColumn("_rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
-    return ranked.where(F.col("_rank") == n).drop("_rank")
+    return _ranked(df, keys, order).where(F.col("_rank") == n).drop("_rank", "_hash")
 
 
 def keep_latest(df: DataFrame, keys: list[str], moment: str, ties: list[str]) -> DataFrame:

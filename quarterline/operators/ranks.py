@@ -48,16 +48,32 @@ def with_row_number(df: DataFrame, order: list[Column | str], number: str = "row
     return numbered.drop("_part", "_position", "_offset_part", "_offset", "_total")
 
 
-def ntile(df: DataFrame, order: list[Column | str], buckets: int, name: str = "tile") -> DataFrame:
-    """NTILE over the whole table: the first N % buckets tiles hold one row more."""
-    ranked = with_row_number(df, order, "_row", "_rows")
-    small = F.floor(F.col("_rows") / buckets)
-    extra = F.col("_rows") % buckets
-    in_large = F.col("_row") <= extra * (small + 1)
-    tile = F.when(in_large, F.ceil(F.col("_row") / (small + 1))).otherwise(
-        extra + F.ceil(F.try_divide(F.col("_row") - extra * (small + 1), small))
-    )
-    return ranked.withColumn(name, tile.cast("int")).drop("_row", "_rows")
+def tile_cuts(df: DataFrame, order: list[str], buckets: int) -> list[tuple]:
+    """Fit NTILE over the whole table: the last row of each tile but the last, as order values.
+
+    Only the order columns are sorted. Runs a job and returns at most buckets - 1 rows. The first
+    N % buckets tiles hold one row more than the others.
+    """
+    ranked = with_row_number(df.select(*order), order, "_row", "_rows")
+    small, extra = F.floor(F.col("_rows") / buckets), F.col("_rows") % buckets
+    ends = F.array(*[F.lit(i) * small + F.least(F.lit(i), extra) for i in range(1, buckets)])
+    rows = ranked.where(F.array_contains(ends, F.col("_row"))).withColumn("_ends", ends).collect()
+    by_row = {r["_row"]: tuple(r[c] for c in order) for r in rows}
+    return [by_row.get(end) for end in rows[0]["_ends"]] if rows else []
+
+
+def tile_of(order: list[str], cuts: list[tuple]) -> Column:
+    """Tile number of a row, comparing its order values with the fitted cuts."""
+    here = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)])
+    tile = F.lit(1)
+    for cut in cuts:
+        if cut is not None:
+            edge = F.struct(*[F.lit(v).alias(f"o{i}") for i, v in enumerate(cut)])
+            tile = tile + (here > edge).cast("int")
+        # A tile without rows ends before the first one: every row lies beyond it.
+        else:
+            tile = tile + 1
+    return tile
 
 
 def with_running_totals(df: DataFrame, groups: list[str], order: list[str], sums: list[str]) -> DataFrame:

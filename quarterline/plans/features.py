@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarterline.functions import quarters as Q
 from quarterline.functions.scalars import first_present, ratio
 from quarterline.operators import windows as WN
-from quarterline.operators.ranks import group_quantiles, ntile
+from quarterline.operators.ranks import group_quantiles, tile_cuts, tile_of
 
 # Statement columns of the feature table; each may arrive under its panel name instead.
 STATEMENT_COLUMNS = [
@@ -271,10 +271,13 @@ def _size_label(tile: Column) -> Column:
     return picked
 
 
+SIZE_ORDER = ["Assets", "firm_id", "fiscal_year", "fiscal_period"]
+
+
 def size_by_rank(df: DataFrame) -> DataFrame:
-    """Four equal groups by assets; ties are ordered by firm and quarter."""
-    tiled = ntile(df, ["Assets", "firm_id", "fiscal_year", "fiscal_period"], 4, "_tile")
-    return tiled.withColumn("company_size_bucket", _size_label(F.col("_tile"))).drop("_tile")
+    """Four equal groups by assets; ties are ordered by firm and quarter (fits three cut rows first)."""
+    cuts = tile_cuts(df, SIZE_ORDER, 4)
+    return df.withColumn("company_size_bucket", _size_label(tile_of(SIZE_ORDER, cuts)))
 
 
 def size_cuts(df: DataFrame, accuracy: int | None = None) -> tuple[float, float, float]:
@@ -306,15 +309,14 @@ def clip_spread(df: DataFrame, columns: list[str], n_std: float = 5.0) -> DataFr
 
 
 def engineer(panel: DataFrame, size: str = "ntile", denominator: str = "abs", clip: float | None = None) -> DataFrame:
-    """The engineered table. `panel` is unique per firm and quarter."""
-    inputs = WN.fill_by_date(statement_view(panel), list(MACRO_INPUTS), "filed_date")
+    """The engineered table. `panel` is a stored table, unique per firm and quarter; it is read several times."""
+    view = statement_view(panel)
+    # The size groups are fitted on the narrow inputs, so no wide row is sorted globally.
+    sized = size_by_rank(view) if size == "ntile" else size_by_cuts(view, size_cuts(view))
+    inputs = WN.fill_by_date(sized, list(MACRO_INPUTS), "filed_date")
     made = add_macro_interactions(add_interactions(add_rolling(add_growth(add_ratios(inputs), denominator))))
     made = made.withColumn("sector_proxy", sector_proxy())
-    if clip is not None:
-        made = clip_spread(made, feature_names(), clip)
-    if size == "ntile":
-        return size_by_rank(made)
-    return size_by_cuts(made, size_cuts(made))
+    return made if clip is None else clip_spread(made, feature_names(), clip)
 
 
 def zero_missing_features(df: DataFrame, identity: tuple[str, ...] = ("firm_id", "fiscal_year", "fiscal_period", "distress_label")) -> DataFrame:
