@@ -8,6 +8,7 @@ from quarterline import fixtures as X
 from quarterline.catalog.registry import query
 from quarterline.catalog.sqlparts import ctes, quarter_of
 from quarterline.operators import filters as FL
+from quarterline.operators import joins as J
 from quarterline.plans import cleaning
 
 
@@ -133,7 +134,6 @@ def firm_lookup(spark, folder):
     """All scores of the firm-quarters that had an urgent order."""
     rows = X.scores(spark, folder)
     asked = rows.where(F.col("priority") == "1-URGENT").select("firm_id", "fiscal_year", "fiscal_period")
-    found = rows.join(asked, ["firm_id", "fiscal_year", "fiscal_period"], "left_semi")
-    return found.select("o_orderkey", "firm_id", "fiscal_year", "fiscal_period", "score")
+    return J.in_set(rows, asked, ["firm_id", "fiscal_year", "fiscal_period"]).select("o_orderkey", "firm_id", "fiscal_year", "fiscal_period", "score")
 
 

@@ -24,12 +24,13 @@ def attach(scores: DataFrame, extra: DataFrame | None, keys: list[str], columns:
 
 
 def in_set(df: DataFrame, keys: DataFrame, names: list[str]) -> DataFrame:
-    return df.join(keys.select(*names), names, "left_semi")
+    """Rows whose key is present; the keys are made distinct before they are shuffled."""
+    return df.join(keys.select(*names).distinct(), names, "left_semi")
 
 
 def not_in_set(df: DataFrame, keys: DataFrame, names: list[str]) -> DataFrame:
     """Rows whose key is absent; a NULL key counts as absent."""
-    return df.join(keys.select(*names), names, "left_anti")
+    return df.join(keys.select(*names).distinct(), names, "left_anti")
 
 
 def stacked(*tables: DataFrame) -> DataFrame:
@@ -52,7 +53,13 @@ def missing_strata(df: DataFrame, split: str, stratum: str, splits: tuple[str, .
     return present.select(stratum, F.explode(lacking).alias(split))
 
 
-def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """Materialise a derived table and mark it for broadcast only when its counted size allows."""
+SMALL_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """Materialise a derived table and mark it for broadcast only when its counted size allows.
+
+    Beyond the limit the join shuffles, and adaptive execution splits its skewed partitions.
+    """
     kept = materialise(df)
     return F.broadcast(kept) if kept.count() <= rows else kept

@@ -74,23 +74,29 @@ def write_partitioned(df: DataFrame, path: str, partition: list[str], sort: list
     ranged.write.mode("overwrite").partitionBy(*partition).format(kind).save(path)
 
 
+def _spread(df: DataFrame, partition: list[str]) -> DataFrame:
+    """Range on the partition columns and a row hash: few files per partition, no task with a hot one."""
+    others = [c for c in df.columns if c not in partition]
+    return df.repartitionByRange(*partition, F.xxhash64(*others))
+
+
 def write_daily(df: DataFrame, path: str, day: str, cluster: list[str]) -> None:
     """Day partitions clustered by the given columns."""
     write_partitioned(df.withColumn(day, F.to_date(day)), path, [day], cluster)
 
 
 def replace_partitions(df: DataFrame, path: str, partition: list[str]) -> None:
-    """Overwrite only the partitions that occur in `df`."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
+    """Overwrite only the partitions that occur in `df`; a hot one is spread over several tasks."""
+    _spread(df, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
 
 
 def write_json_lines(df: DataFrame, path: str, partition: list[str]) -> None:
-    df.write.mode("overwrite").partitionBy(*partition).json(path)
+    _spread(df, partition).write.mode("overwrite").partitionBy(*partition).json(path)
 
 
 def write_documents(df: DataFrame, path: str, partition: list[str], text: str = "doc") -> None:
     """Raw documents as text lines under partition folders."""
-    df.select(*partition, text).write.mode("overwrite").partitionBy(*partition).text(path)
+    _spread(df.select(*partition, text), partition).write.mode("overwrite").partitionBy(*partition).text(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
