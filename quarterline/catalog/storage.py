@@ -11,7 +11,7 @@ from quarterline.catalog.nested import documents
 from quarterline.operators import quality as QU
 from quarterline.operators import slices as SL
 from quarterline.operators.nested import flatten_facts
-from quarterline.session import fresh_folder
+from quarterline.session import fresh_folder, materialise
 from quarterline.sources import reports as RP
 from quarterline.sources import tables as T
 from quarterline.streaming import drift as SD
@@ -182,7 +182,7 @@ def land_latest(spark, folder):
 def refresh_stream(spark, folder):
     """Facts up to 1999 land first; then a full fetch with doubled values arrives."""
     home = fresh_folder(spark, "refresh")
-    rows = X.latest_facts(spark, folder).select("firm_id", "fiscal_year", "fiscal_period", "tag", "value")
+    rows = materialise(X.latest_facts(spark, folder).select("firm_id", "fiscal_year", "fiscal_period", "tag", "value"))
     schema = rows.schema
     keys = ["firm_id", "fiscal_year", "fiscal_period", "tag"]
     for part in (rows.where("fiscal_year < 2000"), rows.withColumn("value", F.col("value") * 2)):

@@ -10,6 +10,7 @@ from quarterline.catalog.sqlparts import FISCAL, ctes, r
 from quarterline.operators import windows as WN
 from quarterline.operators.ranks import with_row_number
 from quarterline.plans import cleaning, features, panel
+from quarterline.session import materialise
 
 _LAGS = [f"{m}_lag{k}" for m in panel.MEASURES for k in (1, 4)]
 
@@ -124,13 +125,13 @@ def forward(spark, folder):
  WHEN 1 THEN 'small' WHEN 2 THEN 'mid' WHEN 3 THEN 'large' WHEN 4 THEN 'mega' END AS company_size_bucket FROM inputs""",
 )
 def size_ntile(spark, folder):
-    view = features.statement_view(X.labeled_panel(spark, folder)).select(*features.FIRM_QUARTER, "Assets")
+    view = materialise(features.statement_view(X.labeled_panel(spark, folder)).select(*features.FIRM_QUARTER, "Assets"))
     return features.size_by_rank(view).drop("Assets")
 
 
 @query("w12_size_cuts", ctes("cut_features") + "SELECT firm_id, fiscal_year, fiscal_period, company_size_bucket FROM cut_features")
 def size_cuts(spark, folder):
-    view = features.statement_view(X.labeled_panel(spark, folder)).select(*features.FIRM_QUARTER, "Assets")
+    view = materialise(features.statement_view(X.labeled_panel(spark, folder)).select(*features.FIRM_QUARTER, "Assets"))
     return features.size_by_cuts(view, features.size_cuts(view)).drop("Assets")
 
 
@@ -346,7 +347,7 @@ def quarterly_last(spark, folder):
 def amendment_refresh(spark, folder):
     from quarterline.operators import refresh
 
-    rows = X.latest_facts(spark, folder).select(*cleaning.FACT_KEY, "value")
+    rows = materialise(X.latest_facts(spark, folder).select(*cleaning.FACT_KEY, "value"))  # the stored table
     fetched = rows.where(_FETCHED).withColumn("value", F.col("value") * 2)
     return refresh.refresh(rows.where(_STORED), fetched, ["firm_id"], ["fiscal_year", "fiscal_period"], cleaning.FACT_KEY, ["value"])
 
