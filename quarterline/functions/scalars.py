@@ -67,17 +67,32 @@ def confidence_band(score: Column, margin: float = 0.05) -> tuple[Column, Column
     return F.greatest(score - margin, F.lit(0.0)), F.least(score + margin, F.lit(1.0))
 
 
+def one_decimal(value: Column) -> Column:
+    """Text of a non-negative number with one decimal, rounded on its exact binary value, ties to even.
+
+    Twenty times the value is kept as a sum and its rounding error (16 and 4 times are exact), so comparing it
+    with an odd whole number decides exactly which side of a midpoint the value lies on.
+    """
+    large, small = value * 16, value * 4
+    total = large + small
+    error = small - (total - large)
+    tenths = F.floor(total / 2)
+    side = (total - (tenths * 2 + 1)) + error
+    rounded = tenths + F.when((side > 0) | ((side == 0) & (tenths % 2 == 1)), 1).otherwise(0)
+    return F.concat(F.floor(rounded / 10).cast("string"), F.lit("."), (rounded % 10).cast("string"))
+
+
 def money_text(amount: Column) -> Column:
-    """$24.2B, $3.1M, $500K; N/A when missing. Halves round to even."""
+    """$24.2B, $3.1M, $500K; N/A when missing."""
     size = F.abs(amount)
     sign = F.when(amount < 0, "-").otherwise("")
     body = (
-        F.when(size >= 1e9, F.format_string("$%.1fB", F.bround(size / 1e9, 1)))
-        .when(size >= 1e6, F.format_string("$%.1fM", F.bround(size / 1e6, 1)))
-        .when(size >= 1e3, F.format_string("$%.0fK", F.bround(size / 1e3, 0)))
-        .otherwise(F.format_string("$%.0f", F.bround(size, 0)))
+        F.when(size >= 1e9, F.concat(one_decimal(size / 1e9), F.lit("B")))
+        .when(size >= 1e6, F.concat(one_decimal(size / 1e6), F.lit("M")))
+        .when(size >= 1e3, F.concat(F.rint(size / 1e3).cast("bigint").cast("string"), F.lit("K")))
+        .otherwise(F.rint(size).cast("bigint").cast("string"))
     )
-    return F.when(amount.isNull(), "N/A").otherwise(F.concat(sign, body))
+    return F.when(amount.isNull(), "N/A").otherwise(F.concat(sign, F.lit("$"), body))
 
 
 def joined_text(flags: list[tuple[Column, str]], empty: str = "—") -> Column:

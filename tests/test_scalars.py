@@ -44,6 +44,12 @@ def test_money_text(spark):
     assert [g[0] for g in got] == ["$24.2B", "-$3.1M", "$500K", "$999", "$2K", "N/A"]
 
 
+def test_one_decimal_equals_exact_rounding(spark):
+    numbers = [i / 20 for i in range(400)] + [k + 0.15 for k in range(300)] + [856.85, 216.05, 999.949999, 0.25, 0.75, 0.35, 999.96]
+    got = values(spark, "v double", [(n,) for n in numbers], S.one_decimal(F.col("v")))
+    assert [g[0] for g in got] == [f"{n:.1f}" for n in numbers]
+
+
 def test_joined_text_and_names(spark):
     flags = [(F.col("a"), "Neg. income"), (F.col("b"), "High leverage")]
     got = values(spark, "a boolean, b boolean", [(True, True), (False, None)], S.joined_text(flags))
