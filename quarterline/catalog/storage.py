@@ -110,6 +110,16 @@ def records(spark, folder):
     return spark.read.schema("segment string, rows bigint, top double").json(path)
 
 
+@query("a11_export_table", "SELECT s_suppkey, s_acctbal FROM supplier")
+def export_table(spark, folder):
+    """A catalog table is replaced and exported; the export is what comes back."""
+    home = fresh_folder(spark, "export")
+    name = "exported_" + home.rsplit("-", 1)[1]
+    T.export_table(X.table(spark, folder, "supplier").select("s_suppkey", "s_acctbal"), name, f"{home}/out", f"{home}/table")
+    spark.sql(f"DROP TABLE {name}")
+    return T.read_table(spark, f"{home}/out")
+
+
 @query("a16_report", ctes("scores") + "SELECT 'v2' AS model_version, count(*) AS row_count, 1 AS prediction_horizon FROM scores")
 def report(spark, folder):
     path = fresh_folder(spark, "report")

@@ -118,11 +118,6 @@ def engineered(spark: SparkSession, folder: str) -> DataFrame:
     return features.engineer(materialise(labeled_panel(spark, folder)))
 
 
-def unsized(spark: SparkSession, folder: str) -> DataFrame:
-    """The engineered table with size groups by fitted cut points (no global sort)."""
-    return features.engineer(materialise(labeled_panel(spark, folder)), size="cuts")
-
-
 def scores(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
     customers = table(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,11 +117,3 @@ def trend_text(change: Column, dead_band: float = 0.01) -> Column:
 def stamped(df: DataFrame, **values: object) -> DataFrame:
     """Add one constant column per keyword (versions, run ids, times)."""
     return df.withColumns({name: F.lit(value) for name, value in values.items()})
-
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

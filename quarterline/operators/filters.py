@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,7 +57,3 @@ def sharded(firms: DataFrame, order: list[str], shards: int, limit: int | None =
     ranked = with_row_number(firms, order, "position")
     inside = F.lit(True) if limit is None else F.col("position") <= limit
     return ranked.withColumns({"shard": F.pmod(F.col("position") - 1, F.lit(shards)).cast("int"), "in_universe": inside})
-
-
-def any_null(columns: list[str]):
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])

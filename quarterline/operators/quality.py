@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quarterline.operators.dedup import duplicate_count
 from quarterline.operators.ranks import group_quantiles
 from quarterline.operators.reshape import lengthen
+from quarterline.session import materialise
 
 NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
 
@@ -80,8 +81,9 @@ def validation_report(df: DataFrame, required: list[str], key: list[str], column
     missing = [c for c in required if c not in df.columns]
     present = [c for c in key if c in df.columns]
     counts = df.agg(F.count(F.lit(1)).cast("double").alias("value")).select(F.lit("rows").alias("section"), F.lit("row_count").alias("name"), "value")
+    # The parts below are one row, or one row per column; kept, so that each is one pass over the data.
     if len(present) == len(key):
-        repeats = duplicate_count(df, key).select(F.col("duplicate_rows").cast("double").alias("value"))
+        repeats = materialise(duplicate_count(df, key)).select(F.col("duplicate_rows").cast("double").alias("value"))
     else:
         repeats = df.sparkSession.range(1).select(F.lit(0.0).alias("value"))
     repeats = repeats.select(F.lit("duplicates").alias("section"), F.lit("+".join(key)).alias("name"), "value")
@@ -90,7 +92,7 @@ def validation_report(df: DataFrame, required: list[str], key: list[str], column
         F.lit("fail").alias("name"),
         ((F.col("value") > 0) | F.lit(bool(missing))).cast("double").alias("value"),
     )
-    nulls = null_profile(df)
+    nulls = materialise(null_profile(df))
     parts = [
         status,
         counts,
@@ -98,7 +100,7 @@ def validation_report(df: DataFrame, required: list[str], key: list[str], column
         nulls.select(F.lit("null_count").alias("section"), F.col("column_name").alias("name"), F.col("nulls").cast("double").alias("value")),
         nulls.select(F.lit("null_rate").alias("section"), F.col("column_name").alias("name"), F.col("null_rate").alias("value")),
     ]
-    ranges = range_profile(df, columns)
+    ranges = materialise(range_profile(df, columns))
     parts += [
         ranges.select(F.lit("min").alias("section"), F.col("column_name").alias("name"), F.col("low").alias("value")),
         ranges.select(F.lit("max").alias("section"), F.col("column_name").alias("name"), F.col("high").alias("value")),
@@ -120,13 +122,6 @@ def findings(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return counted.select(F.inline(entries)).where(F.col("rows") > 0)
 
 
-def rule_results(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """(rule, rows) for every rule, broken or not."""
-    counted = df.agg(*[F.count_if(F.coalesce(bad, F.lit(False))).alias(f"r{i}") for i, bad in enumerate(rules.values())])
-    entries = F.array(*[F.struct(F.lit(text).alias("rule"), F.col(f"r{i}").alias("rows")) for i, text in enumerate(rules)])
-    return counted.select(F.inline(entries))
-
-
 def input_findings(df: DataFrame, identity: list[str], label: str = "distress_label") -> DataFrame:
     """Structural errors before scoring: missing identity, text in a feature, a feature without any value."""
     spark = df.sparkSession

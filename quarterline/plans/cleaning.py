@@ -127,8 +127,13 @@ def zero_fill(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def clean(facts: DataFrame, series: DataFrame, tags: list[str] = STATEMENT_TAGS) -> DataFrame:
-    """The cleaned table: pivot, macro join, identity repair, zero fill, macro fill inside each firm."""
-    wide = facts.groupBy(*QUARTER_KEY).agg(
+    """The cleaned table: pivot, macro join, identity repair, zero fill, macro fill inside each firm.
+
+    One row per firm and quarter of the plausible years, so no firm has more than 164 rows in the fill window
+    (205 with FY rows).
+    """
+    plausible = facts.where(F.col("fiscal_year").between(Q.FIRST_YEAR, Q.LAST_YEAR))
+    wide = plausible.groupBy(*QUARTER_KEY).agg(
         F.max("filed_date").alias("filed_date"),
         *[F.max(F.when(F.col("tag") == t, F.col("value"))).alias(t) for t in tags],
     )

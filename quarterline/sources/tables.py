@@ -68,9 +68,10 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def export_table(df: DataFrame, name: str, path: str) -> None:
-    """Replace a catalog table and export it as Snappy Parquet."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def export_table(df: DataFrame, name: str, path: str, location: str | None = None) -> None:
+    """Replace a catalog table (at `location` when given) and export it as Snappy Parquet."""
+    writer = df.write.mode("overwrite").format("parquet")
+    (writer.option("path", location) if location else writer).saveAsTable(name)
     df.sparkSession.table(name).write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
