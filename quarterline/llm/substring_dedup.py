@@ -1,9 +1,10 @@
 """Substring deduplication by content-defined chunks.
 
 A gear hash rolls over the bytes of a text: it depends on the last WINDOW bytes only, so a text inserted before a passage does not move
-the cuts within it. A cut is where five bits of the hash are zero, at least SHORTEST bytes after the last one; after LONGEST bytes a cut
-is made anyway. Chunks are compared by digest and size over all documents. Runs of neighbouring repeated chunks that span at least
-`least_words` words are repeated passages; a passage stays in the smallest doc_id that holds it, at its first place there.
+the cuts within it. A cut is where four bits of the hash are zero, at least SHORTEST bytes after the last one; after LONGEST bytes a cut
+is made anyway. Chunks are compared by digest over all documents. Runs of neighbouring repeated chunks that span at least
+`least_words` words are repeated passages; a passage stays in the smallest doc_id that holds it, at its first place there. What repeats
+within a single document only is left alone.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ def cut_places(data: np.ndarray) -> np.ndarray:
         # The hash of 2w bytes is that of the later w plus that of the earlier w, shifted by w.
         h[width:] = h[width:] + (h[:-width] << np.uint32(width))
         width *= 2
-    return np.flatnonzero((h >> np.uint32(20)) & np.uint32(31) == 0) + 1
+    return np.flatnonzero((h >> np.uint32(20)) & np.uint32(15) == 0) + 1
 
 
 def chunk_ends(candidates: list[int], size: int) -> list[int]:
@@ -115,27 +116,22 @@ def chunk(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, kind)
 
 
-def repeated_passages(docs: DataFrame, least_words: int = 16) -> DataFrame:
+def repeated_passages(docs: DataFrame, least_words: int = 25) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_chunks, repeated_bytes, removed_bytes, first_ids, removed (spans of bytes, from and to).
 
-    repeated_bytes counts passages that occur again anywhere, the first one too; `removed` lists those that are not the first and
+    repeated_bytes counts passages that other documents hold too, the first one included; `removed` lists those that are not the first and
     first_ids the documents that keep them. Null or empty text has no chunks. Rows that share a doc_id count as one document, in which
     each row keeps its own first place; rows without a doc_id come after all others. Extra columns are ignored.
     """
     chunks = stored(chunk(docs), "chunks")
-    zipped = F.explode(F.arrays_zip("digest", "start", "size", "words", "again")).alias("c")
     owner = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("owner")
-    places = chunks.select("row", owner, zipped).select("row", "owner", "c.*")
-    repeated = (
-        places.where("not again").groupBy("digest", "size").agg(F.min("owner").alias("first"), F.max("owner").alias("last")).where("first <> last").drop("last")
-    )
-    found = places.join(repeated, ["digest", "size"], "left").where("first is not null or again")
-    lost = F.col("again") | (F.col("first") != F.col("owner"))
-    per_row = found.groupBy("row").agg(
-        F.sort_array(F.collect_list(F.struct("start", "size", "words", lost.alias("lost"), F.coalesce("first", "owner").alias("first")))).alias("found")
-    )
+    held = chunks.select(owner, F.explode("digest").alias("digest"))
+    repeated = held.groupBy("digest").agg(F.min("owner").alias("first"), F.max("owner").alias("last")).where("first <> last").drop("last")
+    place = F.struct("c.start", "c.size", "c.words", "c.again").alias("place")
+    places = chunks.select("row", F.explode(F.arrays_zip("digest", "start", "size", "words", "again")).alias("c")).select("c.digest", "row", place)
+    found = places.join(repeated, "digest").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("place", "first"))).alias("found"))
     narrow = chunks.select("row", "doc_id", "n_bytes", F.size("digest").cast("long").alias("n_chunks"))
-    return _runs(narrow.join(per_row, "row", "left"), least_words)
+    return _runs(narrow.join(found, "row", "left"), least_words)
 
 
 def _runs(rows: DataFrame, least_words: int) -> DataFrame:
@@ -145,10 +141,12 @@ def _runs(rows: DataFrame, least_words: int) -> DataFrame:
         for batch in batches:
             found = batch.column("found")
             offsets, values = found.offsets.to_numpy(), found.values
-            start, size, words, lost, first = (values.field(k).to_numpy(zero_copy_only=False) for k in ("start", "size", "words", "lost", "first"))
+            place, first = values.field("place"), values.field("first").to_numpy()
+            start, size, words, again = (place.field(k).to_numpy(zero_copy_only=False) for k in ("start", "size", "words", "again"))
+            owner = batch.column("doc_id").fill_null((1 << 63) - 1).to_numpy()
             repeated, removed, ids, spans = [], [], [], []
-            for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-                s, n, gone = start[a:b], size[a:b].astype(np.int64), lost[a:b]
+            for a, b, mine in zip(offsets[:-1], offsets[1:], owner, strict=True):
+                s, n, gone = start[a:b], size[a:b].astype(np.int64), again[a:b] | (first[a:b] != mine)
                 run_of = np.cumsum(np.concatenate([[0], s[1:] != s[:-1] + n[:-1]])) if b > a else np.zeros(0, int)
                 long = np.bincount(run_of, words[a:b])[run_of] >= least_words if b > a else np.zeros(0, bool)
                 gone = gone & long
