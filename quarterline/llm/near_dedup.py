@@ -182,7 +182,8 @@ def _block_pairs(rows: DataFrame, member: str, blocks: Column) -> DataFrame:
 def estimated_links(classes: DataFrame, near: Near) -> DataFrame:
     """a, b: forests of the links that band buckets and bit counts suggest."""
     keys = stored(classes.select("id", F.explode("bands").alias("bucket")), "buckets")
-    shared = keys.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
+    # Stored, so that the join deals out both of its sides anew and a large bucket can be split.
+    shared = stored(keys.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1"), "shared")
     rows = keys.join(shared, "bucket").join(classes.select("id", "bits"), "id")
 
     def links(group: pa.Table) -> pa.Table | None:
@@ -260,7 +261,7 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     """
     prints = stored(fingerprints(docs, near), "prints")
     named = prints.where("doc_id is not null and digest is not null")
-    smallest = named.groupBy("digest").agg(F.min("doc_id").alias("id"))
+    smallest = stored(named.groupBy("digest").agg(F.min("doc_id").alias("id")), "smallest")
     of_class = named.select("digest", "doc_id", "bands", "bits").join(smallest, "digest").where("doc_id = id")
     classes = stored(of_class.select("digest", "id", "bands", "bits").dropDuplicates(["digest"]), "classes")
     suggested = stored(estimated_links(classes, near), "suggested")

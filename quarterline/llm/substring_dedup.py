@@ -127,6 +127,8 @@ def repeated_passages(docs: DataFrame, least_words: int = 25) -> DataFrame:
     owner = F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("owner")
     held = chunks.select(owner, F.explode("digest").alias("digest"))
     repeated = held.groupBy("digest").agg(F.min("owner").alias("first"), F.max("owner").alias("last")).where("first <> last").drop("last")
+    # Stored, so that the join deals out both of its sides anew and a chunk that very many documents hold can be split.
+    repeated = stored(repeated, "repeated")
     place = F.struct("c.start", "c.size", "c.words", "c.again").alias("place")
     places = chunks.select("row", F.explode(F.arrays_zip("digest", "start", "size", "words", "again")).alias("c")).select("c.digest", "row", place)
     found = places.join(repeated, "digest").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("place", "first"))).alias("found"))
