@@ -42,6 +42,8 @@ def lines_to_drop(docs: DataFrame, least: int, documents: int) -> DataFrame:
     lines = stored(line_hashes(docs, least).distinct(), "lines")
     # max() passes over null ids, so a nameless document is never the one that keeps the line unless no other holds it.
     frequent = lines.groupBy("high", "low").agg(F.count("*").alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= documents).drop("n")
+    # Stored, so that the join deals out both of its sides anew and a line that very many documents hold can be split.
+    frequent = stored(frequent, "frequent")
     lost = lines.join(frequent, ["high", "low"]).where(~F.col("doc_id").eqNullSafe(F.col("last")))
     return lost.groupBy("doc_id").agg(F.collect_list(F.struct("high", "low")).alias("drop"))
 
