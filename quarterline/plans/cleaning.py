@@ -102,15 +102,14 @@ def widen_statements(facts: DataFrame, keys: list[str], tags: list[str] = STATEM
 
 
 def widen_macro(series: DataFrame) -> DataFrame:
-    """One row per quarter key; the year filter bounds it to 164 rows."""
-    bounded = series.where(F.year("date").between(Q.FIRST_YEAR, Q.LAST_YEAR))
-    keyed = bounded.withColumn("quarter_key", Q.quarter_key_of(F.col("date")))
+    """One row per quarter key."""
+    keyed = series.withColumn("quarter_key", Q.quarter_key_of(F.col("date")))
     return widen(keyed, ["quarter_key"], "series_id", "value", MACRO_SERIES)
 
 
 def join_macro(statements: DataFrame, macro: DataFrame) -> DataFrame:
-    """Left join on the quarter key; `macro` comes from widen_macro and has at most 164 rows."""
-    return statements.join(F.broadcast(macro), "quarter_key", "left")
+    """Left join on the quarter key; `macro` comes from widen_macro, and its measured size decides whether it is broadcast."""
+    return statements.join(macro, "quarter_key", "left")
 
 
 def repair_identity(df: DataFrame, assets: str = "Assets", liabilities: str = "Liabilities", equity: str = "StockholdersEquity") -> DataFrame:
@@ -129,20 +128,20 @@ def zero_fill(df: DataFrame, columns: list[str]) -> DataFrame:
 def clean(facts: DataFrame, series: DataFrame, tags: list[str] = STATEMENT_TAGS) -> DataFrame:
     """The cleaned table: pivot, macro join, identity repair, zero fill, macro fill inside each firm.
 
-    One row per firm and quarter of the plausible years, so no firm has more than 164 rows in the fill window
-    (205 with FY rows).
+    One row per firm, year and period, yearly periods included. The date is the facts' own `end_date` where they have one, so fiscal
+    years that don't follow the calendar keep theirs, and else the end of the quarter, for a yearly period the end of the year.
     """
-    plausible = facts.where(F.col("fiscal_year").between(Q.FIRST_YEAR, Q.LAST_YEAR))
-    wide = plausible.groupBy(*QUARTER_KEY).agg(
+    dated = [F.max(F.col("end_date").cast("date")).alias("_end")] if "end_date" in facts.columns else []
+    wide = facts.groupBy(*QUARTER_KEY).agg(
         F.max("filed_date").alias("filed_date"),
+        *dated,
         *[F.max(F.when(F.col("tag") == t, F.col("value"))).alias(t) for t in tags],
     )
+    year, period = F.col("fiscal_year"), F.col("fiscal_period")
+    ends = [Q.quarter_end(year, period), F.when(period == "FY", F.make_date(year, F.lit(12), F.lit(31)))]
     wide = wide.withColumns(
-        {
-            "quarter_key": Q.quarter_key(F.col("fiscal_year"), F.col("fiscal_period")),
-            "end_date": Q.quarter_end(F.col("fiscal_year"), F.col("fiscal_period")),
-        }
-    )
+        {"quarter_key": Q.quarter_key(year, period), "end_date": F.coalesce(*([F.col("_end")] if dated else []), *ends)}
+    ).drop("_end")
     joined = zero_fill(repair_identity(join_macro(wide, widen_macro(series))), tags)
     by_filing = WN.ordered(["firm_id"], [F.col("filed_date").asc_nulls_first(), "fiscal_year", "fiscal_period"])
     return WN.fill_both_ways(joined, MACRO_COLUMNS, by_filing)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from quarterline.functions.scalars import zero_pad
 
@@ -44,11 +44,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> D
 
 
 def read_keyed_folders(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """Files under `<key>=<id>/`: the folder names the key as text (leading zeros stay) and overrides the file."""
-    rows = spark.read.option("recursiveFileLookup", True).parquet(path)
-    found = F.regexp_extract(F.col("_metadata.file_path"), f"/{key}=([^/]+)/", 1)
-    others = [c for c in rows.columns if c != key]
-    return rows.select(*others, found.alias(key)).where(F.col(key) != "")
+    """Files under `<key>=<id>/`: the folder names the key as text (leading zeros stay) and overrides the file.
+
+    The key is a partition column, so its value comes back decoded and a filter on it skips folders.
+    """
+    inside = spark.read.option("recursiveFileLookup", True).parquet(path).schema
+    schema = StructType([*(f for f in inside if f.name != key), StructField(key, StringType())])
+    return read_table(spark, path, schema).where(F.col(key).isNotNull())
 
 
 def read_keyed_files(spark: SparkSession, path: str, key: str) -> DataFrame:
@@ -78,9 +80,11 @@ def export_table(df: DataFrame, name: str, path: str, location: str | None = Non
 def write_partitioned(df: DataFrame, path: str, partition: list[str], sort: list[str], kind: str = "parquet") -> None:
     """Folders per partition value, rows sorted inside the files.
 
-    Ranging on partition and sort columns together splits a hot partition over many tasks.
+    Ranging on partition and sort columns and a row hash splits a hot partition, and a hot sort key, over many tasks.
     """
-    ranged = df.repartitionByRange(*partition, *sort).sortWithinPartitions(*partition, *sort) if sort else df
+    others = [c for c in df.columns if c not in (*partition, *sort)]
+    spread = df.repartitionByRange(*partition, *sort, *([F.xxhash64(*others)] if others else []))
+    ranged = spread.sortWithinPartitions(*partition, *sort)
     ranged.write.mode("overwrite").partitionBy(*partition).format(kind).save(path)
 
 

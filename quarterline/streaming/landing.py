@@ -54,15 +54,19 @@ def refresh_batch(rows: DataFrame, batch: int, path: str, owner: list[str], peri
     spark = rows.sparkSession
     marks = [*owner, *period]
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    schema = ", ".join(f"{c} {kinds[c]}" for c in marks) + ", batch bigint"
+    schema = ", ".join(f"{c} {kinds[c]}" for c in marks) + ", held boolean, batch bigint"
     before = read_or_empty(spark, f"{path}/marks", schema).where(F.col("batch") < batch)
-    stored = before.select(*marks).distinct()
+    # A period is stored while its last mark brought rows; one that a fetch dropped is not.
+    last = before.groupBy(*marks).agg(F.max(F.struct("batch", "held")).alias("_last"))
+    stored = last.where("_last.held").select(*marks)
     newest = last_periods(stored, owner, period, n)
     fixed = stored.join(newest, marks, "left_anti")
     accepted = rows.join(fixed, marks, "left_anti")
     owners = rows.select(*owner).distinct()
-    # Mark the periods this batch replaces: those it brings and the owner's newest ones it may have dropped.
-    replaced = accepted.select(*marks).union(newest.join(owners, owner, "left_semi").select(*marks)).distinct()
+    # Mark the periods this batch replaces: those it brings and the owner's newest ones that it dropped.
+    brought = accepted.select(*marks).distinct()
+    dropped = newest.join(owners, owner, "left_semi").select(*marks).distinct().join(brought, marks, "left_anti")
+    replaced = brought.withColumn("held", F.lit(True)).unionByName(dropped.withColumn("held", F.lit(False)))
     accepted.write.mode("overwrite").parquet(_batch_folder(f"{path}/rows", batch))
     replaced.write.mode("overwrite").parquet(_batch_folder(f"{path}/marks", batch))
 

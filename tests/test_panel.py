@@ -156,3 +156,13 @@ def test_one_shuffle_for_the_whole_firm_chain(spark, small):
     plan = X.labeled_panel(spark, small)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(firm_id") == 2  # pivot key, firm
     assert "SinglePartition" not in plan
+
+
+def test_yearly_rows_and_own_dates_reach_the_panel(spark):
+    from quarterline.plans import cleaning
+
+    data = [("f", 2019, "FY", "Assets", 5.0, "2020-02-01", "2019-09-30"), ("f", 2020, "Q1", "Assets", 6.0, "2020-05-01", None), ("g", 2019, "FY", "Assets", 7.0, "2020-02-01", None)]
+    facts = spark.createDataFrame(data, "firm_id string, fiscal_year int, fiscal_period string, tag string, value double, filed_date string, end_date string")
+    series = spark.createDataFrame([], "series_id string, date date, value double")
+    out = {(r.firm_id, r.fiscal_period): str(r.end_date) for r in cleaning.clean(facts, series).collect()}
+    assert out == {("f", "FY"): "2019-09-30", ("f", "Q1"): "2020-03-31", ("g", "FY"): "2019-12-31"}

@@ -140,3 +140,23 @@ def test_malformed_quarters_find_nothing(spark):
     asked = spark.createDataFrame([("f", "2025-Q1"), ("f", "2025Q1"), ("f", "x-Q1"), ("g", "2025-Q1")], "firm_id string, quarter string")
     got = L.top_features(table, asked).collect()
     assert [(r["quarter"], r["features"][0]["feature"]) for r in got] == [("2025-Q1", "roa")]
+
+
+def test_keyed_folders_decode_and_prune(spark, tmp_path):
+    rows = spark.createDataFrame([("a:b c", 1), ("007", 2)], "firm_id string, v int")
+    T.write_partitioned(rows, str(tmp_path / "t"), ["firm_id"], ["v"])
+    back = T.read_keyed_folders(spark, str(tmp_path / "t"), "firm_id")
+    assert sorted((r.firm_id, r.v) for r in back.collect()) == [("007", 2), ("a:b c", 1)]
+    plan = back.where("firm_id = '007'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(firm_id" in plan and "firm_id" in plan.split("PartitionFilters")[1][:120]
+
+
+def test_equal_keys_are_written_by_several_tasks(spark, tmp_path):
+    spark.range(200_000).selectExpr("'d' AS day", "'t' AS ticker", "id").write.parquet(str(tmp_path / "in"))
+    # Adaptive execution would join partitions as small as these again.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        T.write_partitioned(spark.read.parquet(str(tmp_path / "in")), str(tmp_path / "out"), ["day"], ["ticker"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "out" / "day=d").glob("part-*.parquet"))) > 1

@@ -51,3 +51,18 @@ def test_window_psi_is_zero_for_the_reference_itself(spark):
     counts = spark.createDataFrame([("w", 0, 50), ("w", 1, 50), ("x", 0, 100)], "window_start string, bin int, rows bigint")
     got = {r["window_start"]: r["psi"] for r in SD.window_psi(counts, [50, 50]).collect()}
     assert abs(got["w"]) < 1e-9 and got["x"] > 1
+
+
+def test_refresh_over_a_shrinking_fetch(spark, tmp_path):
+    """A short fetch drops newest periods; a later full one must not count them as stored."""
+    kinds = "firm_id string, fiscal_year int, fiscal_period string, tag string, value double"
+    quarters = [(2014 + i // 4, f"Q{i % 4 + 1}") for i in range(20)]
+    batches = [spark.createDataFrame([("a", y, q, "t", 100.0 * k + i) for i, (y, q) in enumerate(quarters[:n])], kinds) for k, n in enumerate((20, 12, 20))]
+    owner, period, keys = ["firm_id"], ["fiscal_year", "fiscal_period"], ["firm_id", "fiscal_year", "fiscal_period", "tag"]
+    stored = batches[0]
+    for k, rows in enumerate(batches):
+        ST.refresh_batch(rows, k, str(tmp_path / "table"), owner, period)
+        if k:
+            stored = RF.refresh(stored, rows, owner, period, keys, ["value"])
+    out = ST.refreshed(spark, str(tmp_path / "table"), owner, period, keys, ["value"])
+    assert sorted(map(tuple, out.select(*stored.columns).collect())) == sorted(map(tuple, stored.collect()))
