@@ -107,8 +107,9 @@ def strata_coverage(spark, folder):
 
 @query(
     "q7_input_findings",
-    """SELECT 'Missing identity column: fiscal_period' AS error UNION ALL SELECT 'Non-numeric values found in feature column ''o_orderpriority'''
- UNION ALL SELECT 'Column ''eps'' is entirely null — likely a pipeline issue'""",
+    """SELECT 'identity column fiscal_period is absent' AS error
+ UNION ALL SELECT 'feature o_orderpriority holds text, rows: ' || count(*) FROM orders WHERE o_orderpriority IS NOT NULL AND TRY_CAST(o_orderpriority AS DOUBLE) IS NULL HAVING count(*) > 0
+ UNION ALL SELECT 'feature eps has no value, rows: ' || count(*) FROM orders""",
 )
 def input_findings(spark, folder):
     orders = X.table(spark, folder, "orders")
@@ -139,8 +140,9 @@ def scored_table(spark, folder):
 @query(
     "q8_output_findings",
     ctes("scores")
-    + """SELECT 'Missing output columns: [''scored_at'']' AS error UNION ALL SELECT CAST(count(*) AS VARCHAR) || ' rows with distress_probability outside [0, 1]' FROM scores WHERE score * 1.1 > 1
- UNION ALL SELECT 'Versioning column ''model_version'' has null values'""",
+    + """SELECT 'score column scored_at is absent' AS error
+ UNION ALL SELECT 'distress_probability is not in [0, 1], rows: ' || count(*) FROM scores WHERE score * 1.1 > 1 HAVING count(*) > 0
+ UNION ALL SELECT 'model_version is null, rows: ' || count(*) FROM scores WHERE label IS DISTINCT FROM 1 HAVING count(*) > 0""",
 )
 def output_findings(spark, folder):
     return QU.output_findings(scored_table(spark, folder))

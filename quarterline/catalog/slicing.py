@@ -179,16 +179,25 @@ def ks_sql(source: str) -> str:
  FROM {source} WHERE value IS NOT NULL) GROUP BY feature"""
 
 
+_KOLMOGOROV = "2 * list_sum(list_transform(range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * reach * reach)))"
+
+
+def _with_p(tested: str) -> str:
+    p = f"CASE WHEN reach < 0.2 THEN 1.0 ELSE least(greatest({_KOLMOGOROV}, 0.0), 1.0) END"
+    return f"""SELECT feature, n_a, n_b, {r('ks_stat', 8)} AS ks_stat, {r(p, 6)} AS p_value
+ FROM (SELECT *, sqrt(n_a * n_b / (n_a + n_b)) * ks_stat AS reach FROM ({tested}))"""
+
+
 @query(
     "s10_ks_by_label",
     ctes("features", extra=_EFFECT)
-    + f"SELECT feature, n_a, n_b, {r('ks_stat', 8)} AS ks_stat FROM ({ks_sql('(SELECT feature, value, distress_label = 0 AS first FROM base)')})",
+    + _with_p(ks_sql("(SELECT feature, value, distress_label = 0 AS first FROM base)")),
 )
 def ks_by_label(spark, folder):
     rows = X.engineered(spark, folder)
     long = rows.select("distress_label", *KEY).unpivot(["distress_label"], KEY, "feature", "value")
     tested = SL.ks_test(long, F.col("distress_label") == 0)
-    return tested.select("feature", "n_a", "n_b", F.round("ks_stat", 8).alias("ks_stat"))
+    return tested.select("feature", "n_a", "n_b", F.round("ks_stat", 8).alias("ks_stat"), F.round("p_value", 6).alias("p_value"))
 
 
 def chi_sql(dimension: str, expression: str) -> str:
@@ -198,20 +207,22 @@ def chi_sql(dimension: str, expression: str) -> str:
   FROM (SELECT DISTINCT {expression} AS d FROM features) CROSS JOIN (SELECT DISTINCT distress_label AS l FROM features) LEFT JOIN (SELECT {expression} AS d, distress_label AS l, count(*) AS n FROM features GROUP BY 1, 2) USING (d, l)))"""
 
 
+_CHI_TAIL = """CASE WHEN dof < 1 OR chi2 <= 0 THEN 1.0 WHEN chi2 > 2 * dof + 2000 THEN 0.0
+ ELSE least(greatest(1 - list_sum(list_transform(range(0, 3001), lambda n: exp((dof / 2 + n) * ln(chi2 / 2) - chi2 / 2 - lgamma(dof / 2 + n + 1)))), 0.0), 1.0) END"""
 _PERIOD = f"CASE WHEN fiscal_year >= {SPLIT_YEAR} THEN 'post' ELSE 'pre' END"
 
 
 @query(
     "s11_chi_square",
     ctes("features")
-    + f"SELECT dimension, {r('chi2', 5)} AS chi2, dof FROM ("
+    + f"SELECT dimension, {r('chi2', 5)} AS chi2, dof, {r('p', 6)} AS p_value, p >= 0.05 AS independent FROM (SELECT *, {_CHI_TAIL} AS p FROM ("
     + " UNION ALL ".join(chi_sql(d, e) for d, e in (("company_size_bucket", "company_size_bucket"), ("sector_proxy", "sector_proxy"), ("time_period", _PERIOD)))
-    + ")",
+    + "))",
 )
 def chi_square(spark, folder):
     rows = X.engineered(spark, folder).withColumn("time_period", F.when(F.col("fiscal_year") >= SPLIT_YEAR, "post").otherwise("pre"))
     parts = [SL.chi_square(rows, d, "distress_label") for d in ("company_size_bucket", "sector_proxy", "time_period")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("chi2", F.round("chi2", 5))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumns({"chi2": F.round("chi2", 5), "p_value": F.round("p_value", 6)})
 
 
 @query(
@@ -235,15 +246,12 @@ _BOTH = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS val
 
 @query(
     "s14_dataset_drift",
-    f"SELECT feature, n_a, n_b, {r('ks_stat', 8)} AS ks_stat FROM ({ks_sql('(' + _BOTH + ')')})",
+    f"SELECT *, p_value <= 0.05 AS drifted FROM ({_with_p(ks_sql('(' + _BOTH + ')'))})",
 )
 def dataset_drift(spark, folder):
     line = X.table(spark, folder, "lineitem")
     tested = SL.dataset_drift(line.where(F.year("l_shipdate") < 1999), line.where(F.year("l_shipdate") >= 1999), _MEASURES)
-    return tested.select("feature", "n_a", "n_b", F.round("ks_stat", 8).alias("ks_stat"))
-
-
-_KOLMOGOROV = "2 * list_sum(list_transform(range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * reach * reach)))"
+    return tested.withColumns({"ks_stat": F.round("ks_stat", 8), "p_value": F.round("p_value", 6)})
 
 
 @query(

@@ -122,28 +122,31 @@ def findings(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return counted.select(F.inline(entries)).where(F.col("rows") > 0)
 
 
-def input_findings(df: DataFrame, identity: list[str], label: str = "distress_label") -> DataFrame:
-    """Structural errors before scoring: missing identity, text in a feature, a feature without any value."""
-    spark = df.sparkSession
-    errors = [f"Missing identity column: {c}" for c in identity if c not in df.columns]
-    head = spark.createDataFrame([(e,) for e in errors], "error string")
-    names = [c for c in df.columns if c not in identity and c != label]
-    if not names:
+def _findings_text(df: DataFrame, known: list[str], counts: dict[str, Column]) -> DataFrame:
+    """(error): the texts known beforehand, and each text whose aggregate gives a number of rows, with that number."""
+    head = df.sparkSession.createDataFrame([(text,) for text in known], "error string")
+    if not counts:
         return head
-    picks = []
-    for i, c in enumerate(names):
-        text = F.col(c).cast("string")
-        picks += [
-            F.count_if(F.col(c).isNotNull() & text.try_cast("double").isNull()).alias(f"t{i}"),
-            F.count(F.col(c)).alias(f"p{i}"),
-        ]
-    row = df.agg(*picks)
-    entries = []
-    for i, c in enumerate(names):
-        entries.append(F.when(F.col(f"t{i}") > 0, F.lit(f"Non-numeric values found in feature column '{c}'")))
-        entries.append(F.when(F.col(f"p{i}") == 0, F.lit(f"Column '{c}' is entirely null — likely a pipeline issue")))
-    found = row.select(F.explode(F.array_compact(F.array(*entries))).alias("error"))
-    return head.unionByName(found)
+    row = df.agg(*[n.alias(f"n{i}") for i, n in enumerate(counts.values())])
+    # A text whose count is null drops out of the array.
+    texts = [F.concat(F.lit(f"{text}, rows: "), F.col(f"n{i}").cast("string")) for i, text in enumerate(counts)]
+    return head.unionByName(row.select(F.explode(F.array_compact(F.array(*texts))).alias("error")))
+
+
+def _some(bad: Column) -> Column:
+    """Rows that meet the condition; null without any."""
+    return F.nullif(F.count_if(bad), F.lit(0).cast("long"))
+
+
+def input_findings(df: DataFrame, identity: list[str], label: str = "distress_label") -> DataFrame:
+    """Structural faults before scoring: an absent identity column, a feature with text that is no number, a feature without values."""
+    known = [f"identity column {c} is absent" for c in identity if c not in df.columns]
+    counts = {}
+    for c in df.columns:
+        if c not in identity and c != label:
+            counts[f"feature {c} holds text"] = _some(F.col(c).isNotNull() & F.col(c).cast("string").try_cast("double").isNull())
+            counts[f"feature {c} has no value"] = F.when(F.count(F.col(c)) == 0, F.count(F.lit(1)))
+    return _findings_text(df, known, counts)
 
 
 def score_rules(columns: list[str]) -> dict[str, Column]:
@@ -161,23 +164,18 @@ def score_rules(columns: list[str]) -> dict[str, Column]:
     return {text: bad for text, bad in rules.items() if any(name in text for name in columns)}
 
 
+# The columns a score table must have, and those of them that say which run made a row.
+SCORE_COLUMNS = ["firm_id", "distress_probability", "model_version", "mlflow_run_id", "scored_at"]
+RUN_COLUMNS = ["model_version", "mlflow_run_id", "scored_at"]
+
+
 def output_findings(df: DataFrame) -> DataFrame:
-    """Score-table errors: missing columns, probabilities out of range, NULL version columns."""
-    # The columns a score table must have.
-    required = ["firm_id", "distress_probability", "model_version", "mlflow_run_id", "scored_at"]
-    missing = [c for c in required if c not in df.columns]
-    head = df.sparkSession.createDataFrame([(f"Missing output columns: {missing}",)] if missing else [], "error string")
-    picks, entries = [], []
+    """Faults of a score table: absent columns, probabilities that are none, rows that don't say which run made them."""
+    known = [f"score column {c} is absent" for c in SCORE_COLUMNS if c not in df.columns]
+    counts = {f"{c} is null": _some(F.col(c).isNull()) for c in RUN_COLUMNS if c in df.columns}
     if "distress_probability" in df.columns:
-        p = F.col("distress_probability")
-        picks.append(F.count_if((p < 0) | (p > 1)).alias("oob"))
-        entries.append(F.when(F.col("oob") > 0, F.concat(F.col("oob").cast("string"), F.lit(" rows with distress_probability outside [0, 1]"))))
-    for c in ("model_version", "mlflow_run_id", "scored_at"):
-        if c in df.columns:
-            picks.append(F.count_if(F.col(c).isNull()).alias(f"n_{c}"))
-            entries.append(F.when(F.col(f"n_{c}") > 0, F.lit(f"Versioning column '{c}' has null values")))
-    found = df.agg(*picks).select(F.explode(F.array_compact(F.array(*entries))).alias("error"))
-    return head.unionByName(found)
+        counts["distress_probability is not in [0, 1]"] = _some(~F.col("distress_probability").between(0, 1))
+    return _findings_text(df, known, counts)
 
 
 def manifest_rules() -> dict[str, Column]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -208,8 +209,30 @@ def ks_test(long: DataFrame, first: Column) -> DataFrame:
     return tested.withColumn("p_value", ks_p_value(F.col("ks_stat"), F.col("n_a"), F.col("n_b")))
 
 
-def chi_square(df: DataFrame, dimension: str, label: str, labels: tuple = (0, 1)) -> DataFrame:
-    """Chi-square statistic and degrees of freedom; Yates' correction with one degree of freedom."""
+def chi_square_p_value(statistic: Column, dof: Column) -> Column:
+    """Upper tail of the chi-square distribution: one minus the power series of the lower incomplete gamma function.
+
+    Terms are carried as logarithms, so none overflows. Without freedom, or at a statistic of 0, the value is 1; beyond twice the degrees
+    of freedom plus 2000 it is 0 to more than a hundred places.
+    """
+    half, x = dof / 2, statistic / 2
+    # ln gamma(half + 1): the factors half, half - 1, ... end at 1 or at 1/2, where the square root of pi is left.
+    rest = F.when(dof % 2 == 1, 0.5 * math.log(math.pi)).otherwise(0.0)
+    log_gamma = F.aggregate(F.sequence(F.lit(0), F.ceil(half).cast("int") - 1), rest, lambda total, j: total + F.log(half - j))
+    first = half * F.log(x) - x - log_gamma
+    last = F.ceil(x + 12 * F.sqrt(x) + 60).cast("int")
+
+    def step(state, n):
+        term = state["term"] + F.log(x / (half + n))
+        return F.struct(term.alias("term"), (state["total"] + F.exp(term)).alias("total"))
+
+    lower = F.aggregate(F.sequence(F.lit(1), last), F.struct(first.alias("term"), F.exp(first).alias("total")), step)["total"]
+    upper = F.least(F.greatest(1 - lower, F.lit(0.0)), F.lit(1.0))
+    return F.when((dof < 1) | (statistic <= 0), 1.0).when(statistic > 2 * dof + 2000, 0.0).otherwise(upper)
+
+
+def chi_square(df: DataFrame, dimension: str, label: str, labels: tuple = (0, 1), alpha: float = 0.05) -> DataFrame:
+    """Chi-square statistic, degrees of freedom, p-value and verdict; Yates' correction with one degree of freedom."""
     names = [f"n_{v}" for v in labels]
     table = contingency(df.where(F.col(dimension).isNotNull()), dimension, label, list(labels))
     row_total = reduce(lambda a, b: a + b, [F.col(n) for n in names])
@@ -225,7 +248,9 @@ def chi_square(df: DataFrame, dimension: str, label: str, labels: tuple = (0, 1)
         F.sum(F.pow(distance - F.least(F.lit(0.5), distance), 2) / expected).alias("_yates"),
     )
     statistic = F.when(F.col("dof") == 1, F.col("_yates")).otherwise(F.col("_plain"))
-    return shaped.select(F.lit(dimension).alias("dimension"), statistic.alias("chi2"), "dof")
+    tested = shaped.select(F.lit(dimension).alias("dimension"), statistic.alias("chi2"), "dof")
+    p = chi_square_p_value(F.col("chi2"), F.col("dof"))
+    return tested.withColumn("p_value", p).withColumn("independent", F.col("p_value") >= alpha)
 
 
 def disparate_impact(df: DataFrame, dimension: str, label: str) -> DataFrame:
@@ -269,8 +294,10 @@ def fairness(performance: DataFrame, metrics: list[str], threshold: float = ALER
     return rated.withColumns({"slice_value": F.round("slice_value", 4), "overall_value": F.round("overall_value", 4)})
 
 
-def threshold_suggestions(fair: DataFrame, metric: str = "recall_at_5pct", base: float = 0.5, step: float = 0.05) -> DataFrame:
-    """Lower decision thresholds for slices with an alert, never under 0.1."""
+def threshold_suggestions(
+    fair: DataFrame, metric: str = "recall_at_5pct", base: float = 0.5, step: float = 0.05, limit: float = ALERT_GAP
+) -> DataFrame:
+    """Lower decision thresholds for slices with an alert, never under 0.1; `limit` is the gap that `fairness` alerted on."""
     alerted = fair.where(F.col("bias_alert") & (F.col("metric") == metric))
     steps = F.greatest(F.lit(1), F.floor(F.col("gap") / 0.05))
     suggested = F.greatest(F.lit(0.1), F.round(F.lit(base) - F.lit(step) * steps, 3))
@@ -279,7 +306,7 @@ def threshold_suggestions(fair: DataFrame, metric: str = "recall_at_5pct", base:
         "slice",
         F.lit(base).alias("current_threshold"),
         suggested.alias("suggested_threshold"),
-        F.format_string(f"{metric} gap of %.4f exceeds {ALERT_GAP:.0%}% threshold", "gap").alias("reason"),
+        F.format_string(f"{metric} is %.4f under the mean of all slices; allowed: {limit:g}", "gap").alias("reason"),
     )
 
 

@@ -38,7 +38,8 @@ def test_input_findings(spark):
     assert QU.input_findings(good, identity).count() == 0
     bad = good.drop("firm_id").withColumns({"t": F.lit("abc"), "n": F.lit(None).cast("double")})
     errors = " ".join(r["error"] for r in QU.input_findings(bad, identity).collect())
-    assert "Missing identity column: firm_id" in errors and "'t'" in errors and "'n' is entirely null" in errors
+    assert "identity column firm_id is absent" in errors
+    assert "feature t holds text, rows: 1" in errors and "feature n has no value, rows: 1" in errors and "feature x" not in errors
 
 
 SCORES = "firm_id string, distress_probability double, model_version string, mlflow_run_id string, scored_at string"
