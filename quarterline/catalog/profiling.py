@@ -179,7 +179,7 @@ def identity_share(spark, folder):
     return X.cleaned(spark, folder).agg(F.round(QU.identity_share(), 6).alias("share"))
 
 
-_CORR = features.RATIOS[:6] + ["altman_z_approx", "rd_intensity"]
+_CORR = features.feature_names()
 
 
 def _pairs(apart: bool):

@@ -105,6 +105,18 @@ def strata_coverage(spark, folder):
     return J.missing_strata(keyed, "split", "stratum", ("train", "val", "test"))
 
 
+@query("q1_required_columns", ctes("clean") + 'SELECT firm_id, fiscal_year, fiscal_period, "Assets", "Liabilities" FROM clean')
+def required_columns(spark, folder):
+    names = ["firm_id", "fiscal_year", "fiscal_period", "Assets", "Liabilities"]
+    return panel.require_columns(X.cleaned(spark, folder), names).select(*names)
+
+
+@query("l6_without_label", ctes("scores") + "SELECT o_orderkey, firm_id, score FROM scores")
+def without_label(spark, folder):
+    inputs, _ = SP.without_label(X.scores(spark, folder).select("o_orderkey", "firm_id", "score", "label"), "label")
+    return inputs
+
+
 @query(
     "q7_input_findings",
     """SELECT 'identity column fiscal_period is absent' AS error

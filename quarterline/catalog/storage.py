@@ -94,6 +94,22 @@ def table_scan(spark, folder):
     return spark.table("nation_table")
 
 
+@query("a15_read_or_empty", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def read_or_empty(spark, folder):
+    """What is stored already (nothing yet) and what has come in since."""
+    schema = "c_custkey bigint, c_name string, c_acctbal double"
+    earlier = T.read_or_empty(spark, fresh_folder(spark, "customers"), schema)
+    return earlier.unionByName(T.read_or_empty(spark, f"{folder}/customer.parquet", schema))
+
+
+@query("a17_companies", "SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS firm_id, c_mktsegment AS ticker, c_name AS name FROM customer")
+def companies(spark, folder):
+    """The first dictionary that exists, its ids as text of ten digits."""
+    path = fresh_folder(spark, "companies")
+    T.write_csv(X.table(spark, folder, "customer").select(F.col("c_custkey").alias("cik"), F.col("c_mktsegment").alias("ticker"), F.col("c_name").alias("name")), path)
+    return T.read_companies(spark, [fresh_folder(spark, "companies"), path])
+
+
 @query("a8_documents", ctes("facts") + "SELECT firm_id, count(*) AS facts FROM facts WHERE NOT (fiscal_period <> 'Q4' AND l_linenumber = 7) GROUP BY firm_id")
 def raw_documents(spark, folder):
     """Raw documents land as text per firm and are flattened from there."""

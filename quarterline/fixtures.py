@@ -12,7 +12,6 @@ from quarterline.functions.scalars import zero_pad
 from quarterline.operators.dedup import keep_latest
 from quarterline.plans import cleaning, features, panel
 from quarterline.session import materialise
-from quarterline.sources.tables import spread_over_cores
 
 # Tag by return flag, line status and line number modulo 3.
 TAG_OF = {
@@ -61,7 +60,7 @@ def _mapped(mapping: dict[str, str], code):
 
 def facts(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
-    line = spread_over_cores(table(spark, folder, "lineitem").select(*columns), "l_orderkey", "l_partkey")
+    line = table(spark, folder, "lineitem").select(*columns)
     code = F.concat("l_returnflag", "l_linestatus", (F.col("l_linenumber") % 3).cast("string"))
     shaped = line.select(
         zero_pad(F.col("l_suppkey")).alias("firm_id"),

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.session import materialise
+from quarterline.session import fresh_folder
 
 
 def by_quarter(filings: DataFrame, filed: str, indicators: DataFrame, observed: str) -> DataFrame:
@@ -53,13 +53,8 @@ def missing_strata(df: DataFrame, split: str, stratum: str, splits: tuple[str, .
     return present.select(stratum, F.explode(lacking).alias(split))
 
 
-SMALL_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """Materialise a derived table and mark it for broadcast only when its counted size allows.
-
-    Beyond the limit the join shuffles, and adaptive execution splits its skewed partitions.
-    """
-    kept = materialise(df)
-    return F.broadcast(kept) if kept.count() <= rows else kept
+def sized(df: DataFrame) -> DataFrame:
+    """A derived table, stored, so that joins with it are planned by its bytes (`spark.sql.autoBroadcastJoinThreshold`)."""
+    path = fresh_folder(df.sparkSession, "sized")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -84,6 +84,7 @@ def watchlist(scores: DataFrame, panel: DataFrame, score: str) -> DataFrame:
     )
     joined = latest.join(state, "firm_id", "left")
     c = F.col
+    # The warnings and the limit of high leverage.
     flags = [
         (c("net_income") < 0, "Neg. income"),
         (c("operating_cash_flow") < 0, "Neg. cash flow"),

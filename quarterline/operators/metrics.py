@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.operators.joins import broadcast_if_small
+from quarterline.operators.joins import sized
 from quarterline.operators.ranks import with_running_totals
 
 
@@ -117,7 +117,7 @@ def metric_table(
         F.max(F.when(on_edge, edge)).alias("_edge"),
     )
     # One row per group; when they are few, the rows need no shuffle to meet their group's boundary.
-    folded = broadcast_if_small(folded)
+    folded = sized(folded)
     edges = folded.select(*groups, F.col("_edge.edge").alias("_score"), F.col("_edge.take").alias("_take"))
     tied = df.join(edges, [df[g].eqNullSafe(edges[g]) for g in groups] + [df[score] == edges["_score"]])
     tied = tied.select(*[df[g] for g in groups], *[df[c] for c in key], (df[label] == 1).cast("bigint").alias("_hit"), F.lit(1).cast("bigint").alias("_one"), "_take")

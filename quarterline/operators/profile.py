@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,16 +115,19 @@ def score_summary(df: DataFrame, score: str, high: float = 0.7) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(feature_a, feature_b, correlation), pairwise complete, every pair from one aggregate."""
-    pairs = list(combinations_with_replacement(columns, 2))
-    row = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    entries = F.array(
-        *[
-            F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"c{i}").alias("correlation"))
-            for i, (a, b) in enumerate(pairs)
-        ]
+    """(feature_a, feature_b, correlation), pairwise complete; a table without rows has no pairs.
+
+    A row meets itself as (place, place, value, value) and is folded into one state per pair before the shuffle, so plan and state stay
+    small for many columns, which an aggregate per pair would not.
+    """
+    named = F.array(*[F.lit(c) for c in columns])
+    values = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("v"))
+    first = values.select("v", F.posexplode("v").alias("i", "x"))
+    both = first.select("i", "x", F.posexplode(F.slice("v", F.col("i") + 1, len(columns))).alias("k", "y"))
+    folded = both.groupBy("i", "k").agg(F.corr("x", "y").alias("correlation"))
+    return folded.select(
+        F.element_at(named, F.col("i") + 1).alias("feature_a"), F.element_at(named, F.col("i") + F.col("k") + 1).alias("feature_b"), "correlation"
     )
-    return row.select(F.inline(entries))
 
 
 def strongest_pairs(correlated: DataFrame, n: int = 20) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quarterline.operators.joins import broadcast_if_small
+from quarterline.operators.joins import sized
 from quarterline.operators.profile import bin_of
 from quarterline.operators.ranks import group_quantiles, with_running_totals
 from quarterline.operators.reshape import contingency
@@ -63,7 +63,7 @@ def slice_stats(rows: DataFrame, columns: list[str], accuracy: int | None = None
         F.stddev_samp("value").alias("std"),
         F.avg(F.col("value").isNull().cast("int")).alias("missing_rate"),
     )
-    moments = broadcast_if_small(moments)
+    moments = sized(moments)
     limits = moments.select(*keys, F.col("mean").alias("_m"), F.col("std").alias("_s"))
     far = (F.col("value") < F.col("_m") - 3 * F.col("_s")) | (F.col("value") > F.col("_m") + 3 * F.col("_s"))
     outliers = (
@@ -110,7 +110,7 @@ def pair_drift(long: DataFrame, groups: list[str], side: str, bins: int = 10) ->
     extent = present.groupBy(*groups, side).agg(
         F.min("value").alias("low"), F.max("value").alias("high"), F.count(F.lit(1)).alias("n")
     )
-    extent = broadcast_if_small(extent)
+    extent = sized(extent)
     a = extent.select(*groups, F.col(side).alias("slice_a"), F.col("low").alias("low_a"), F.col("high").alias("high_a"), F.col("n").alias("n_a"))
     b = extent.select(*groups, F.col(side).alias("slice_b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"), F.col("n").alias("n_b"))
     pairs = a.join(b, groups).where(F.col("slice_a") < F.col("slice_b"))
@@ -119,7 +119,7 @@ def pair_drift(long: DataFrame, groups: list[str], side: str, bins: int = 10) ->
         F.least("low_a", "low_b").alias("low"), F.greatest("high_a", "high_b").alias("high"),
     )
     sides = pairs.select("*", F.explode(F.array("slice_a", "slice_b")).alias(side))
-    joined = present.join(broadcast_if_small(sides), [*groups, side])
+    joined = present.join(sized(sides), [*groups, side])
     place = joined.withColumn("_bin", bin_of(F.col("value"), F.col("low"), F.col("high"), bins))
     counters = []
     for letter in ("a", "b"):
@@ -146,6 +146,7 @@ def drift_matrix(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 def drift_alerts(matrix: DataFrame) -> DataFrame:
     high = matrix.where(F.col("psi") > DRIFT_HIGH)
+    # Fixed value: the text of an alert.
     text = F.format_string("HIGH DRIFT: %s between %s and %s (PSI=%.3f)", "feature", "slice_a", "slice_b", "psi")
     return high.withColumn("alert", text)
 
@@ -306,7 +307,7 @@ def threshold_suggestions(
         "slice",
         F.lit(base).alias("current_threshold"),
         suggested.alias("suggested_threshold"),
-        F.format_string(f"{metric} is %.4f under the mean of all slices; allowed: {limit:g}", "gap").alias("reason"),
+        F.format_string(f"{metric} gap of %.4f exceeds {limit * 100:g}%% threshold", "gap").alias("reason"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterline.operators.joins import broadcast_if_small
+from quarterline.operators.joins import sized
 from quarterline.operators.quality import numeric_columns
 from quarterline.operators.ranks import group_quantiles
 from quarterline.operators.reshape import lengthen
@@ -22,7 +22,7 @@ def with_strata(df: DataFrame, parts: list[str], least: int = 10, name: str = "_
     raw = F.concat_ws("__", *[F.coalesce(F.col(p).cast("string"), F.lit("nan")) for p in parts])
     keyed = df.withColumn("_raw_key", raw)
     rare = keyed.groupBy("_raw_key").agg((F.count(F.lit(1)) < least).alias("_rare"))
-    joined = keyed.join(broadcast_if_small(rare), "_raw_key")
+    joined = keyed.join(sized(rare), "_raw_key")
     return joined.withColumn(name, F.when(F.col("_rare"), "other").otherwise(F.col("_raw_key"))).drop("_raw_key", "_rare")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql.window import WindowSpec
 
 from quarterline.functions.scalars import ratio
-from quarterline.operators.joins import broadcast_if_small
+from quarterline.operators.joins import sized
 
 
 def ordered(by: list[str], order: list) -> WindowSpec:
@@ -76,14 +76,13 @@ def fill_by_date(df: DataFrame, columns: list[str], date: str) -> DataFrame:
     """Economy-wide fill: own value, else the same date's, else the latest earlier, else the earliest later.
 
     The series is first reduced to one row per calendar day (a few thousand, and never more than the calendar
-    has), whatever the input size. Only that table meets an unpartitioned window, and it is broadcast after its
-    size was counted.
+    has), whatever the input size. Only that table meets an unpartitioned window; it is stored, and joined by its size.
     """
     day = F.to_date(F.col(date))
     per_day = df.groupBy(day.alias("_day")).agg(*[F.max(c).alias(c) for c in columns])
     spec = W.orderBy(F.col("_day").asc_nulls_first())
     filled = fill_both_ways(per_day, columns, spec).select("_day", *[F.col(c).alias(f"_day_{c}") for c in columns])
-    joined = df.join(broadcast_if_small(filled), day.eqNullSafe(F.col("_day")), "left")
+    joined = df.join(sized(filled), day.eqNullSafe(F.col("_day")), "left")
     return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"_day_{c}")) for c in columns}).drop(
         "_day", *[f"_day_{c}" for c in columns]
     )

@@ -90,6 +90,7 @@ FLOW_ITEMS = [
     "NetCashProvidedByUsedInFinancingActivities",
     "DepreciationDepletionAndAmortization",
 ]
+# The macro inputs, the names of the feature columns and what they are made from, the watched features, the size groups.
 MACRO_INPUTS = {"fed_funds": "FedFundsRate", "unemployment": "UnemploymentRate", "inflation": "CPI"}
 RATIOS = [
     "current_ratio",
@@ -255,6 +256,7 @@ def add_macro_interactions(df: DataFrame) -> DataFrame:
 
 
 def sector_proxy() -> Column:
+    # The sectors and their limits.
     c = F.col
     return (
         F.when(ratio(c("ResearchAndDevelopmentExpense"), c("Revenues")) > 0.15, "tech_pharma")

@@ -22,6 +22,7 @@ PANEL_NAMES = {
     "OperatingIncomeLoss": "operating_income",
     "RetainedEarningsAccumulatedDeficit": "retained_earnings",
 }
+# The measures of the panel and the names of the signals.
 MEASURES = [
     "total_assets",
     "total_liabilities",

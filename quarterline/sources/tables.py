@@ -16,15 +16,6 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
     return reader.parquet(path)
 
 
-def spread_over_cores(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal out input that arrives in fewer partitions than there are cores (a few unsplittable files).
-
-    Larger inputs come back unchanged, so this costs a cluster-sized scan nothing.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_by_suffix(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     """CSV with a header when the path says so, else Parquet."""
     if path.rstrip("/").endswith(".csv"):

@@ -144,3 +144,10 @@ def test_dataset_drift_decision(spark):
     tested = SL.dataset_drift(a, b, ["moved", "same"])
     row = SL.drift_decision(tested).first()
     assert row["drifted_features"] == "moved" and row["drift_share"] == 0.5 and row["dataset_drift"]
+
+
+def test_chi_square_p_values_of_the_printed_tables(spark):
+    cases = [(3.841459, 1, 0.05), (5.991465, 2, 0.05), (18.307038, 10, 0.05), (0.0, 3, 1.0), (0.015791, 1, 0.9), (5000.0, 4, 0.0)]
+    df = spark.createDataFrame(cases, "chi2 double, dof int, p double")
+    for row in df.withColumn("got", SL.chi_square_p_value(F.col("chi2"), F.col("dof"))).collect():
+        assert abs(row["got"] - row["p"]) < 1e-5
