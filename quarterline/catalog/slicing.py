@@ -29,10 +29,14 @@ _SLICED = (
 _LONG = f"{_SLICED}, long AS MATERIALIZED (SELECT dimension, slice, feature, value FROM (SELECT dimension, slice, {_COLS} FROM sliced) UNPIVOT INCLUDE NULLS (value FOR feature IN ({_COLS})))"
 
 
-def rows_of(spark, folder):
-    """The sliced feature table; the features are a stored table because drift and statistics read it repeatedly."""
+def _stored(spark, folder):
+    """The features that slices need as a stored table, because drift and statistics read it repeatedly."""
     needed = [*features.FIRM_QUARTER, "company_size_bucket", "sector_proxy", "fed_funds", "distress_label", *KEY]
-    return SL.sliced(materialise(X.engineered(spark, folder).select(*needed)), SPLIT_YEAR, RATE_LIMIT)
+    return materialise(X.engineered(spark, folder).select(*needed))
+
+
+def rows_of(spark, folder):
+    return SL.sliced(_stored(spark, folder), SPLIT_YEAR, RATE_LIMIT)
 
 
 @query("s1_slices", ctes("features", extra=_SLICED) + "SELECT dimension, slice, firm_id, fiscal_year, fiscal_period FROM sliced")
@@ -134,7 +138,7 @@ def drift_bands(spark, folder):
     + f"SELECT dimension, slice, count(*) AS rows, {r('count(*) * 100.0 / (SELECT count(*) FROM features)', 6)} AS pct FROM sliced GROUP BY ALL",
 )
 def slice_shares(spark, folder):
-    whole = X.engineered(spark, folder)
+    whole = _stored(spark, folder)
     return SL.slice_shares(SL.sliced(whole, SPLIT_YEAR, RATE_LIMIT), whole).withColumn("pct", F.round("pct", 6))
 
 
@@ -220,7 +224,7 @@ _PERIOD = f"CASE WHEN fiscal_year >= {SPLIT_YEAR} THEN 'post' ELSE 'pre' END"
     + "))",
 )
 def chi_square(spark, folder):
-    rows = X.engineered(spark, folder).withColumn("time_period", F.when(F.col("fiscal_year") >= SPLIT_YEAR, "post").otherwise("pre"))
+    rows = _stored(spark, folder).withColumn("time_period", F.when(F.col("fiscal_year") >= SPLIT_YEAR, "post").otherwise("pre"))
     parts = [SL.chi_square(rows, d, "distress_label") for d in ("company_size_bucket", "sector_proxy", "time_period")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumns({"chi2": F.round("chi2", 5), "p_value": F.round("p_value", 6)})
 
@@ -235,7 +239,7 @@ def chi_square(spark, folder):
     ),
 )
 def disparate_impact(spark, folder):
-    rows = X.engineered(spark, folder)
+    rows = _stored(spark, folder)
     parts = [SL.disparate_impact(rows, d, "distress_label") for d in ("company_size_bucket", "sector_proxy")]
     return parts[0].unionByName(parts[1]).withColumns({"rate": F.round("rate", 6), "impact_ratio": F.round("impact_ratio", 6)})
 
@@ -291,7 +295,7 @@ def concentration(spark, folder):
     ctes("features", extra=_MATRIX) + "SELECT DISTINCT dimension, slice_a, slice_b FROM matrix",
 )
 def slice_pairs(spark, folder):
-    return _matrix(spark, folder).select("dimension", "slice_a", "slice_b").distinct()
+    return SL.slice_pairs(rows_of(spark, folder), KEY)
 
 
 @query(

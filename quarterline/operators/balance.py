@@ -60,7 +60,7 @@ def oversample(train: DataFrame, features: list[str], label: str, key: list[str]
     """Train rows plus synthetic minority rows until both classes are equal (two small jobs fit the counts).
 
     Missing and non-finite features count as 0; other columns of a synthetic row are NULL. Which neighbour and
-    how far along are hashes of the row's place, so reruns agree.
+    how far along are hashes of the row's place, so reruns agree. A minority of one row has no neighbour and is an error.
     """
     kinds = dict(train.dtypes)
     numeric = {c: nan_to_null(F.col(c).cast("double"), 0.0).alias(c) for c in features}
@@ -71,6 +71,8 @@ def oversample(train: DataFrame, features: list[str], label: str, key: list[str]
         return rows.select(*train.columns).withColumn("synthetic", F.lit(False))
     minority = min(counts, key=lambda c: (counts[c], c))
     n, needed = counts[minority], max(counts.values()) - counts[minority]
+    if n == 1 and needed:
+        raise ValueError("a minority of one row has no neighbour to make rows from")
     ticket = F.xxhash64(*[F.col(c).cast("string") for c in key], F.lit(seed))
     small = rows.where(F.col(label) == minority).withColumn("_ticket", ticket)
     ranked = with_row_number(small, ["_ticket", *key], "_row").select("_row", F.array(*features).alias("_x"))

@@ -144,6 +144,15 @@ def drift_matrix(rows: DataFrame, columns: list[str]) -> DataFrame:
     return pair_drift(slice_values(rows, columns), ["dimension", "feature"], "slice")
 
 
+def slice_pairs(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """(dimension, slice_a, slice_b) for slices that share a column with values; pairs are formed on one row per slice."""
+    held = rows.groupBy("dimension", "slice").agg(F.array(*[F.count(c) > 0 for c in columns]).alias("held"))
+    a = held.select("dimension", F.col("slice").alias("slice_a"), F.col("held").alias("held_a"))
+    b = held.select("dimension", F.col("slice").alias("slice_b"), F.col("held").alias("held_b"))
+    both = F.exists(F.zip_with("held_a", "held_b", lambda x, y: x & y), lambda x: x)
+    return a.join(b, "dimension").where((F.col("slice_a") < F.col("slice_b")) & both).select("dimension", "slice_a", "slice_b")
+
+
 def drift_alerts(matrix: DataFrame) -> DataFrame:
     high = matrix.where(F.col("psi") > DRIFT_HIGH)
     # Fixed value: the text of an alert.

@@ -90,11 +90,12 @@ def typed_facts(raw: DataFrame, ties: list[str], key: str = "firm_id") -> DataFr
 
 
 def typed_series(raw: DataFrame, ties: list[str]) -> DataFrame:
-    """Macro observations snapped to quarter ends, the last one per series and quarter."""
+    """Macro observations snapped to quarter ends, the last one per series and quarter by `ties`; without `ties` the largest value."""
     series = raw.withColumns(
         {"date": Q.quarter_end_of(F.col("date").try_cast("timestamp_ntz")), "value": F.col("value").try_cast("double")}
     ).where(F.col("date").isNotNull())
-    return keep_latest(series, ["series_id", "date"], ties[0], ties[1:]) if ties else series.dropDuplicates(["series_id", "date"])
+    order = ties or ["value"]
+    return keep_latest(series, ["series_id", "date"], order[0], order[1:])
 
 
 def widen_statements(facts: DataFrame, keys: list[str], tags: list[str] = STATEMENT_TAGS) -> DataFrame:
