@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from quarterline.llm.common import partitions, stored
 
-#: Rates of so few sources are broadcast; a longer list is joined by shuffle.
-BROADCAST_SOURCES = 10_000
+#: Steps of all sources together up to which they are broadcast (8 bytes each); more are joined by shuffle.
+BROADCAST_STEPS = 1_000_000
 
 
 def hashed_uniform(seed: int, *parts: Column) -> Column:
@@ -34,13 +34,16 @@ def source_rates(docs: DataFrame, power: float) -> DataFrame:
 
 
 def poisson_steps(rate: Column) -> Column:
-    """The distribution function at 0, 1, 2, ... as far as double precision tells its values from 1."""
+    """The distribution function at 0, 1, 2, ... as far as double precision tells its values from 1.
+
+    Terms are carried as logarithms: exp(-rate) itself is 0 for rates above 745, which a source billions of times smaller than another gets.
+    """
     last = F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int")
-    start = F.struct(F.exp(-rate).alias("p"), F.array(F.exp(-rate)).alias("steps"))
+    start = F.struct((-rate).alias("log"), F.array(F.exp(-rate)).alias("steps"))
 
     def step(state, k):
-        p = state["p"] * rate / k
-        return F.struct(p.alias("p"), F.concat(state["steps"], F.array(F.element_at(state["steps"], -1) + p)).alias("steps"))
+        log = state["log"] + F.log(rate) - F.log(k.cast("double"))
+        return F.struct(log.alias("log"), F.concat(state["steps"], F.array(F.element_at(state["steps"], -1) + F.exp(log))).alias("steps"))
 
     return F.aggregate(F.sequence(F.lit(1), last), start, step)["steps"]
 
@@ -52,7 +55,7 @@ def replicate(docs: DataFrame, rates: DataFrame, seed: int = 17) -> DataFrame:
     null doc_id counts as empty text; a source without a rate is kept as it is. Nulls in other columns pass through.
     """
     steps = stored(rates.select(F.col("source").alias("__source"), poisson_steps(F.col("rate")).alias("__steps")), "rates")
-    small = steps.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    small = (steps.agg(F.sum(F.size("__steps") + 1)).first()[0] or 0) <= BROADCAST_STEPS
     joined = docs.join(F.broadcast(steps) if small else steps, F.col("source").eqNullSafe(F.col("__source")), "left")
     u = hashed_uniform(seed, F.col("doc_id"))
     count = F.when(F.col("__steps").isNull(), 1).otherwise(F.size(F.filter("__steps", lambda x: x <= u)))

@@ -83,3 +83,13 @@ def test_little_padding():
     tokens = np.random.default_rng(4).integers(1, 2048, 4000)
     bins, _ = packing.pack_vectors(np.stack([tokens, np.ones_like(tokens), tokens], 1), np.array([2048, 256, 2048]))
     assert tokens.sum() / ((bins.max() + 1) * 2048) > 0.98
+
+
+def test_large_rates_do_not_vanish(make, spark, monkeypatch):
+    docs = make([(i, "x") for i in range(60)], sources={i: "tiny" for i in range(60)})
+    rates = spark.createDataFrame([("tiny", 1500.0)], "source string, rate double")
+    counted = Counter(r.doc_id for r in mixing.replicate(docs, rates).select("doc_id").collect())
+    # Sixty draws of mean 1500: their mean is normal with a deviation of 5.
+    assert len(counted) == 60 and abs(sum(counted.values()) / 60 - 1500) < 30
+    monkeypatch.setattr(mixing, "BROADCAST_STEPS", 0)
+    assert Counter(r.doc_id for r in mixing.replicate(docs, rates).select("doc_id").collect()) == counted
