@@ -268,9 +268,11 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     clusters = components(suggested).withColumnRenamed("component", "cluster")
     members = classes.select("id", "digest").join(clusters, "id")
     sets = stored(_sets(docs, members, near), "sets")
-    # Links between ids, and of each row to the smallest id with its set.
+    # Links between ids; an id that is given with several sets also ties their classes together.
+    sets_of = F.xxhash64("digest")
+    several = named.groupBy("doc_id").agg(F.min(sets_of).alias("least"), F.max(sets_of).alias("most")).where("least <> most")
     copies = named.join(smallest, "digest").where("doc_id <> id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    shared_ids = copies.join(smallest.select(F.col("id").alias("a")).distinct(), "a", "left_semi")
+    shared_ids = copies.join(several.select(F.col("doc_id").alias("a")), "a", "left_semi")
     found = components(confirmed_links(sets, near).unionByName(shared_ids))
     of_row = prints.select("doc_id", "n_shingles", "digest").join(smallest, "digest", "left").withColumn("id", F.coalesce("id", "doc_id"))
     component = F.coalesce("component", "id")

@@ -110,3 +110,11 @@ def test_substring_edges(edges, empty):
     by = {r.doc_id: r for r in out}
     assert by[1].n_chunks == by[2].n_chunks == 0 and by[9].removed_bytes == 0 and by[10].first_ids == [9]
     assert substring_dedup.repeated_passages(empty).count() == 0
+
+
+def test_an_id_with_several_texts_ties_their_copies(make):
+    one, two = family(21, n=1)[0], family(22, n=1)[0]
+    data = [(3, one), (7, one), (7, two), (5, two), (9, two), (11, family(23, n=1)[0])]
+    check(make(data), data, near_dedup.Near())
+    kept = near_dedup.without_near_copies(make(data)).select("doc_id").collect()
+    assert sorted(r.doc_id for r in kept) == [3, 11]
