@@ -20,6 +20,7 @@ from quarterline.llm.common import id_text_remainder, raw
 
 #: Hashed features of the 2- and 3-grams.
 FEATURES = 1 << 13
+#: Grams of a text that are counted at a time.
 BLOCK = 1 << 20
 #: n-grams whose evidence counts in full; a longer text's mean margin is weighed as that of so many.
 FULL = 48
@@ -35,14 +36,19 @@ def _letters() -> bytes:
 _TABLE = _letters()
 
 
-def features(text: bytes) -> np.ndarray:
-    """Feature numbers of the 2- and 3-grams of bytes that hold a letter; blanks at both ends."""
-    data = np.frombuffer(b" " + b" ".join(text.translate(_TABLE).split()) + b" ", np.uint8).astype(np.uint32)
+def feature_counts(text: bytes) -> np.ndarray:
+    """Counts of the features of the 2- and 3-grams of bytes, blanks at both ends; BLOCK grams in memory at a time."""
+    data = np.frombuffer(b" " + b" ".join(text.translate(_TABLE).split()) + b" ", np.uint8)
+    total = np.zeros(FEATURES, np.int64)
     if len(data) < 3:
-        return np.zeros(0, np.int64)
-    two = data[:-1] * np.uint32(257) + data[1:]
-    three = two[:-1] * np.uint32(257) + data[2:]
-    return np.concatenate([_bucket(two + np.uint32(1 << 28)), _bucket(three)])
+        return total
+    for at in range(0, len(data) - 1, BLOCK):
+        part = data[at : at + BLOCK + 2].astype(np.uint32)
+        two = part[:-1] * np.uint32(257) + part[1:]
+        three = two[:-1] * np.uint32(257) + part[2:]
+        total += np.bincount(_bucket(two[:BLOCK] + np.uint32(1 << 28)), minlength=FEATURES)
+        total += np.bincount(_bucket(three), minlength=FEATURES)
+    return total
 
 
 def _bucket(gram: np.ndarray) -> np.ndarray:
@@ -50,12 +56,6 @@ def _bucket(gram: np.ndarray) -> np.ndarray:
         return ((gram * np.uint32(2654435769)) >> np.uint32(32 - 13)).astype(np.int64)
 
 
-def _counted(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
-    """(place, counts of the features) of every text."""
-    for i, text in enumerate(texts):
-        yield i, np.bincount(features(text), minlength=FEATURES)
-
-
 def language_counts(training: DataFrame) -> DataFrame:
     """lang, feature, n over all training texts, summed in each task first."""
 
@@ -65,7 +65,7 @@ def language_counts(training: DataFrame) -> DataFrame:
             for lang, text in zip(batch.column("lang").to_pylist(), raw(batch, "text"), strict=True):
                 if lang not in totals:
                     totals[lang] = np.zeros(FEATURES, np.int64)
-                totals[lang] += np.bincount(features(text), minlength=FEATURES)
+                totals[lang] += feature_counts(text)
         for lang, total in totals.items():
             found = np.flatnonzero(total)
             # A language whose texts hold no letters is still learned.
@@ -141,7 +141,7 @@ def identify(docs: DataFrame, model: Codes) -> DataFrame:
                 known = [i for i, t in enumerate(texts) if _LETTER.search(t.decode(errors="replace"))] if model.languages else []
                 names, scores, unsure = ["und"] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
                 if known:
-                    counts = np.stack([np.bincount(features(texts[i]), minlength=FEATURES) for i in known]).astype(np.float64)
+                    counts = np.stack([feature_counts(texts[i]) for i in known]).astype(np.float64)
                     best, share, close = decode(counts, model)
                     scores[known], unsure[known] = share, close
                     for i, b in zip(known, best, strict=True):

@@ -179,3 +179,11 @@ def test_fold_of_null_ids(spark):
 
     got = spark.createDataFrame([(None,), (5,), (-7,)], "doc_id long").select("doc_id", id_text_remainder("doc_id", 10).alias("r")).collect()
     assert {r.doc_id: r.r for r in got} == {None: 0, 5: zlib.crc32(b"5") % 10, -7: zlib.crc32(b"-7") % 10}
+
+
+def test_features_are_counted_in_blocks(monkeypatch):
+    text = "Une phrase, assez longue: été 12 fois répétée! ".encode() * 9
+    whole = language_id.feature_counts(text)
+    for block in (1, 2, 3, 7, 50, len(text), len(text) + 1):
+        monkeypatch.setattr(language_id, "BLOCK", block)
+        assert (language_id.feature_counts(text) == whole).all()
