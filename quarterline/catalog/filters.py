@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quarterline import fixtures as X
 from quarterline.catalog.registry import query
 from quarterline.catalog.sqlparts import ctes, quarter_of
+from quarterline.functions.scalars import zero_pad
 from quarterline.operators import filters as FL
 from quarterline.operators import joins as J
 from quarterline.plans import cleaning
@@ -115,12 +116,11 @@ def active(spark, folder):
 
 @query(
     "f10_universe_shards",
-    ctes("companies")
-    + """SELECT firm_id, CAST((p - 1) % 5 AS INTEGER) AS shard, p <= 500 AS in_universe, p AS position
- FROM (SELECT firm_id, row_number() OVER (ORDER BY firm_id) AS p FROM companies)""",
+    """SELECT firm_id, CAST((p - 1) % 5 AS INTEGER) AS shard, p <= 500 AS in_universe, p AS position
+ FROM (SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS firm_id, row_number() OVER (ORDER BY lpad(CAST(c_custkey AS VARCHAR), 10, '0')) AS p FROM customer)""",
 )
 def shards(spark, folder):
-    return FL.sharded(X.companies(spark, folder).select("firm_id"), ["firm_id"], 5, 500)
+    return FL.sharded(X.table(spark, folder, "customer").select(zero_pad(F.col("c_custkey")).alias("firm_id")), ["firm_id"], 5, 500)
 
 
 @query(

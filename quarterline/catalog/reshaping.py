@@ -12,7 +12,7 @@ from quarterline.operators import reshape as R
 from quarterline.plans import cleaning
 from quarterline.plans.panel import MEASURES
 
-_PIVOT = ", ".join(f"max(CASE WHEN tag = '{t}' THEN value END) AS \"{t}\"" for t in X.FACT_TAGS)
+_PIVOT = ", ".join(f"max(CASE WHEN tag = '{t}' THEN value END) AS \"{t}\"" for t in cleaning.STATEMENT_TAGS)
 
 
 @query(
@@ -22,7 +22,7 @@ _PIVOT = ", ".join(f"max(CASE WHEN tag = '{t}' THEN value END) AS \"{t}\"" for t
 )
 def pivot_tags(spark, folder):
     keyed = X.facts(spark, folder).withColumn("quarter_key", Q.quarter_key(F.col("fiscal_year"), F.col("fiscal_period")))
-    return cleaning.widen_statements(keyed, ["firm_id", "fiscal_year", "fiscal_period", "quarter_key", "filed_date"], X.FACT_TAGS)
+    return cleaning.widen_statements(keyed, ["firm_id", "fiscal_year", "fiscal_period", "quarter_key", "filed_date"])
 
 
 @query("r2_pivot_series", ctes("macro_wide") + "SELECT * FROM macro_wide")

@@ -137,11 +137,11 @@ def quarter_join(spark, folder):
     "j3_attach_attributions",
     ctes("attr", "labeled")
     + f"""SELECT l.firm_id, l.quarter_key, l.distress_label, {r('a.shap_net_income', 6)} AS shap_net_income, CAST(NULL AS VARCHAR) AS top_features_json
- FROM labeled l LEFT JOIN (SELECT * FROM attr WHERE fiscal_year >= 1998) a USING (firm_id, fiscal_year, fiscal_period)""",
+ FROM labeled l LEFT JOIN attr a USING (firm_id, fiscal_year, fiscal_period)""",
 )
 def attach(spark, folder):
     labeled = X.labeled_panel(spark, folder).select(*L.QUARTER, "quarter_key", "distress_label")
-    extra = X.attributions(spark, folder).where(F.col("fiscal_year") >= 1998)
+    extra = X.attributions(spark, folder)
     joined = J.attach(J.attach(labeled, extra, L.QUARTER, ["shap_net_income"]), None, L.QUARTER, ["top_features_json"])
     return joined.select("firm_id", "quarter_key", "distress_label", F.round("shap_net_income", 6).alias("shap_net_income"), "top_features_json")
 

@@ -42,14 +42,14 @@ def history(spark, folder):
     "v3_top_features",
     ctes("attr", extra=_TOP)
     + f"""SELECT firm_id, CAST(fiscal_year AS VARCHAR) || '-' || fiscal_period AS quarter, CAST(rk AS INTEGER) AS rank, feature, {r('v', 6)} AS shap_value
- FROM attr_long WHERE rk <= 3 AND fiscal_period <> 'Q4' AND fiscal_year >= 1998""",
+ FROM attr_long WHERE rk <= 3 AND fiscal_period <> 'Q4'""",
 )
 def top_features(spark, folder):
-    """Requests for every firm-quarter since 1998, those of the fourth quarters malformed."""
+    """Requests for every firm-quarter, those of the fourth quarters malformed."""
     wide = X.attributions(spark, folder)
     table = wide.select(*L.QUARTER, N.contributions_json(wide, _SHAP, 5).alias("top_features_json"))
     text = F.when(F.col("fiscal_period") == "Q4", "soon").otherwise(F.concat_ws("-", "fiscal_year", "fiscal_period"))
-    requests = wide.where(F.col("fiscal_year") >= 1998).select("firm_id", text.alias("quarter"))
+    requests = wide.select("firm_id", text.alias("quarter"))
     return L.top_features(table, requests).select("firm_id", "quarter", F.inline("features"))
 
 
@@ -93,14 +93,13 @@ def watchlist_counts(spark, folder):
 
 @query(
     "v5_snapshot",
-    ctes("panel", extra=f"{_SUPPLIER}, best AS (SELECT * FROM sscores WHERE fiscal_year < 2000 QUALIFY row_number() OVER (PARTITION BY firm_id ORDER BY score DESC, fiscal_year, fiscal_period) = 1)")
+    ctes("panel", extra=f"{_SUPPLIER}, best AS (SELECT * FROM sscores QUALIFY row_number() OVER (PARTITION BY firm_id ORDER BY score DESC, fiscal_year, fiscal_period) = 1)")
     + """SELECT p.firm_id, p.fiscal_year, p.fiscal_period, p.total_assets, p.net_income, coalesce(p.fiscal_year = b.fiscal_year AND p.fiscal_period = b.fiscal_period, false) AS matches_score
  FROM panel p LEFT JOIN best b USING (firm_id)
  QUALIFY row_number() OVER (PARTITION BY p.firm_id ORDER BY coalesce(p.fiscal_year = b.fiscal_year AND p.fiscal_period = b.fiscal_period, false) DESC, p.fiscal_year DESC, p.fiscal_period DESC) = 1""",
 )
 def snapshot(spark, folder):
-    early = supplier_scores(spark, folder).where(F.col("fiscal_year") < 2000)
-    best = top_rows(early, ["firm_id"], [F.col("score").desc(), F.col("fiscal_year"), F.col("fiscal_period")])
+    best = top_rows(supplier_scores(spark, folder), ["firm_id"], [F.col("score").desc(), F.col("fiscal_year"), F.col("fiscal_period")])
     return L.snapshot(X.firm_panel(spark, folder), best).select(*L.QUARTER, "total_assets", "net_income", "matches_score")
 
 

@@ -55,15 +55,13 @@ def csv(spark, folder):
     return T.read_by_suffix(spark, path, "p_partkey bigint, p_name string, p_size int, p_retailprice double")
 
 
-@query("a13_daily_layout", "SELECT CAST(l_shipdate AS DATE) AS day, l_returnflag, count(*) AS lines, max(l_extendedprice) AS top FROM lineitem GROUP BY ALL")
+@query("a13_daily_layout", "SELECT CAST(l_shipdate AS DATE) AS day, l_orderkey, l_linenumber, l_returnflag, l_extendedprice FROM lineitem")
 def daily_layout(spark, folder):
+    """Every line in the folder of its day, sorted by order there."""
     path = fresh_folder(spark, "daily")
-    rows = X.table(spark, folder, "lineitem").groupBy(F.to_date("l_shipdate").alias("day"), "l_returnflag").agg(
-        F.count(F.lit(1)).alias("lines"), F.max("l_extendedprice").alias("top")
-    )
-    # Month folders keep the number of files in proportion to this table's size.
-    T.write_partitioned(rows.withColumn("month", F.date_format("day", "yyyyMM")), path, ["month"], ["day", "l_returnflag"])
-    return spark.read.parquet(path).drop("month")
+    lines = X.table(spark, folder, "lineitem").select(F.col("l_shipdate").alias("day"), "l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+    T.write_daily(lines, path, "day", ["l_orderkey", "l_linenumber"])
+    return spark.read.schema("l_orderkey bigint, l_linenumber int, l_returnflag string, l_extendedprice double, day date").parquet(path).select(*lines.columns)
 
 
 @query(
