@@ -187,3 +187,23 @@ def test_features_are_counted_in_blocks(monkeypatch):
     for block in (1, 2, 3, 7, 50, len(text), len(text) + 1):
         monkeypatch.setattr(language_id, "BLOCK", block)
         assert (language_id.feature_counts(text) == whole).all()
+
+
+def test_windows_widen_until_the_nearest_are_settled(spark):
+    rng = np.random.default_rng(12)
+    # One dense cluster, far smaller than the others lie apart, and vectors without structure: windows of 8 on 4 curves miss most.
+    data = np.concatenate([rng.normal(size=(2000, 16)), 3 + 1e-4 * rng.normal(size=(2000, 16))])
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], "vec_id long, embedding array<double>")
+    out = neighbours.nearest(df, F.col("vec_id") % 100 == 0, 10, neighbours.Curves(curves=4, window=8)).collect()
+    hit = [0, 0]
+    for q in range(0, 4000, 100):
+        d = np.sqrt(((data - data[q]) ** 2).sum(1))
+        want = set(np.lexsort((np.arange(4000), d))[1:11].tolist())
+        hit[q >= 2000] += len(want & {r.vec_id for r in out if r.query_id == q})
+    assert hit[0] / 200 >= 0.9 and hit[1] / 200 >= 0.9
+
+
+def test_byte_keys_sort_as_the_numbers_do():
+    grid = np.random.default_rng(13).integers(0, 1 << 7, (500, 8))
+    keys = neighbours.hilbert_keys(grid, 7)
+    assert [int.from_bytes(x, "big") for x in neighbours.hilbert_bytes(grid, 7)] == keys.tolist()
