@@ -118,3 +118,37 @@ def test_an_id_with_several_texts_ties_their_copies(make):
     check(make(data), data, near_dedup.Near())
     kept = near_dedup.without_near_copies(make(data)).select("doc_id").collect()
     assert sorted(r.doc_id for r in kept) == [3, 11]
+
+
+def test_a_chance_chunk_does_not_cut_a_passage(make):
+    rng = random.Random(31)
+    text = lambda n: " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" for _ in range(n))
+    passage = text(80)
+    pieces = passage.split()
+    # Document 0 holds six words of the passage, enough for a chunk, but not the passage.
+    data = [(0, f"{text(40)} {' '.join(pieces[30:42])} {text(40)}"), *((i, f"{text(30)} {passage} {text(30)}") for i in (5, 6, 7))]
+    out = {r.doc_id: r for r in substring_dedup.repeated_passages(make(data)).collect()}
+    assert out[0].repeated_bytes == out[0].removed_bytes == out[5].removed_bytes == 0 and out[5].repeated_bytes > 0.8 * len(passage)
+    # 7 may share a chunk before the passage with 6 alone; all that 5 holds is gone from both.
+    assert out[6].first_ids == [5] and min(out[7].first_ids) == 5 and all(out[i].removed_bytes >= out[5].repeated_bytes for i in (6, 7))
+
+
+def test_chunks_of_different_documents_are_no_passage(make):
+    rng = random.Random(32)
+    text = lambda n: " ".join(f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" for _ in range(n))
+    whole = text(96).split()
+    # Every stretch of 16 words of document 50 stands in another document, which holds no 25 words of it.
+    data = [(50, " ".join(whole)), *((i, f"{text(20)} {' '.join(whole[8 * i : 8 * i + 16])} {text(20)}") for i in range(11))]
+    out = substring_dedup.repeated_passages(make(data)).collect()
+    assert {(r.repeated_bytes, r.removed_bytes) for r in out} == {(0, 0)}
+
+
+def test_spans_cover_every_run_of_enough_words():
+    rng = np.random.default_rng(33)
+    for _ in range(50):
+        words = rng.integers(0, 9, 40)
+        found = substring_dedup.spans(words, 25).tolist()
+        for a in range(40):
+            for b in range(a + 1, 41):
+                inside = {c for f, t in found if a <= f and t <= b for c in range(f, t)}
+                assert inside == (set(range(a, b)) if words[a:b].sum() >= 25 else set())
