@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterline.llm import exact_dedup, language_id, language_model, line_dedup, mixing, near_dedup, neighbours, packing, quality, substring_dedup
+from quarterline.llm import (
+    exact_dedup,
+    filter_audit,
+    language_id,
+    language_model,
+    line_dedup,
+    mixing,
+    near_dedup,
+    neighbours,
+    packing,
+    phrase_index,
+    quality,
+    spelling,
+    substring_dedup,
+)
 from quarterline.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +135,71 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     kept = line_dedup.drop_lines(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query(
+    "op11_filter_audit",
+    r"""
+    WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') AS runs FROM documents),
+         w AS (SELECT *, [x FOR x IN runs IF x <> ''] AS words, min(doc_id) OVER (PARTITION BY text) AS first FROM t),
+         l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+         f AS (SELECT part, [x FOR x IN [
+                      CASE WHEN len(words) < 200 THEN 'A' END, CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' END,
+                      CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text) THEN 'C' END,
+                      CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END, CASE WHEN doc_id > first THEN 'E' END] IF x IS NOT NULL] AS fails,
+                      coalesce(good, false)::BIGINT AS good, coalesce(toxic, false)::BIGINT AS toxic
+               FROM w LEFT JOIN l USING (doc_id)),
+         m AS MATERIALIZED (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+         letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+         orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+                    WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+         gone AS (SELECT *, coalesce(list_min([instr(filter_order, x) FOR x IN fails]), 6) AS gone_at FROM m, orders),
+         grid AS (SELECT part, filter_order, step, substr(filter_order, step, 1) AS filter
+                  FROM (SELECT DISTINCT part FROM m), orders, (SELECT unnest(range(1, 6))::INTEGER AS step)),
+         counted AS (SELECT g.part, g.filter_order, g.step, any_value(filter) AS filter,
+                            sum(CASE WHEN gone_at > step THEN n ELSE 0 END)::BIGINT AS kept, sum(CASE WHEN gone_at = step THEN n ELSE 0 END)::BIGINT AS removed,
+                            sum(CASE WHEN list_contains(fails, filter) AND gone_at < step THEN n ELSE 0 END)::BIGINT AS redundant,
+                            sum(CASE WHEN fails = [filter] THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                            sum(CASE WHEN gone_at = step THEN good ELSE 0 END)::BIGINT AS good_lost, sum(CASE WHEN gone_at = step THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+                     FROM grid g JOIN gone ON g.part = gone.part AND g.filter_order = gone.filter_order GROUP BY 1, 2, 3)
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, sum(removed) OVER (PARTITION BY part, filter)::BIGINT AS shapley
+    FROM counted
+    """,
+)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Five filters over every document, in all 120 orders, by source."""
+    flags = filter_audit.document_failures(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return filter_audit.audit(flags, "ABCDE", "part", ["good", "toxic"])
+
+
+@query(
+    "op12_phrase_index",
+    r"""
+    WITH d AS (SELECT doc_id, row_number() OVER () AS doc,
+                      regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+         i AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+         windows AS (SELECT DISTINCT item, least(len(words), 10) AS size, list_slice(words, pos, pos + least(len(words), 10) - 1) AS phrase
+                     FROM (SELECT *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS pos FROM i WHERE len(words) > 0)),
+         sizes AS (SELECT DISTINCT size FROM windows),
+         runs AS (SELECT doc, pos, size, list_slice(words, pos, pos + size - 1) AS phrase
+                  FROM (SELECT doc, words, size, unnest(range(1, len(words) - size + 2)) AS pos FROM d, sizes)),
+         found AS MATERIALIZED (SELECT doc, pos, size, item FROM runs JOIN windows USING (size, phrase)),
+         hits AS (SELECT doc, count(DISTINCT place) AS n_hit FROM (SELECT doc, unnest(range(pos, pos + size)) AS place FROM found) GROUP BY doc),
+         named AS (SELECT doc, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc, item FROM found WHERE item IS NOT NULL) GROUP BY doc)
+    SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hits USING (doc) LEFT JOIN named USING (doc)
+    """,
+)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten-word windows of every benchmark item in the index of every document."""
+    found = phrase_index.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"), length=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document and the frequent forms that they are one edit from."""
+    return spelling.spelling_variants(table(spark, folder, "documents"))
