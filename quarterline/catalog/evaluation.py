@@ -154,7 +154,7 @@ def model_fairness(spark, folder):
     "s17_threshold_suggestions",
     ctes("scores", extra=f"{_SLICED}, {_FAIR}")
     + """SELECT dimension, slice, 0.5::DOUBLE AS current_threshold, CAST(greatest(0.1, round(0.5 - 0.05 * greatest(1, floor(gap / 0.05)), 3)) AS DOUBLE) AS suggested_threshold,
- printf('recall_at_5pct gap of %.4f exceeds 0.4%% threshold', gap) AS reason FROM fair WHERE bias_alert AND metric = 'recall_at_5pct'""",
+ printf('recall_at_5pct is %.4f under the mean of all slices (limit 0.004)', gap) AS reason FROM fair WHERE bias_alert AND metric = 'recall_at_5pct'""",
 )
 def suggestions(spark, folder):
     return SL.threshold_suggestions(_fair(spark, folder), limit=0.004)

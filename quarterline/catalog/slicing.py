@@ -39,6 +39,11 @@ def rows_of(spark, folder):
     return SL.sliced(_stored(spark, folder), SPLIT_YEAR, RATE_LIMIT)
 
 
+def _stats(spark, folder):
+    stored = _stored(spark, folder)
+    return SL.slice_stats(stored, KEY, members=SL.slice_members(stored, SPLIT_YEAR, RATE_LIMIT))
+
+
 @query("s1_slices", ctes("features", extra=_SLICED) + "SELECT dimension, slice, firm_id, fiscal_year, fiscal_period FROM sliced")
 def slices(spark, folder):
     return rows_of(spark, folder).select("dimension", "slice", "firm_id", "fiscal_year", "fiscal_period")
@@ -57,7 +62,7 @@ _STATS = ["mean", "std", "q25", "median", "q75", "missing_rate", "outlier_rate"]
  FROM long l JOIN (SELECT dimension, slice, feature, avg(value) AS m, stddev_samp(value) AS s FROM long GROUP BY ALL) USING (dimension, slice, feature) GROUP BY ALL""",
 )
 def slice_stats(spark, folder):
-    stats = SL.slice_stats(rows_of(spark, folder), KEY)
+    stats = _stats(spark, folder)
     places = {c: 6 if c.endswith("rate") else 3 for c in _STATS}
     return stats.select("dimension", "slice", "feature", "sample_count", *[F.round(c, n).alias(c) for c, n in places.items()])
 
@@ -83,7 +88,8 @@ _MATRIX = f"{_LONG}, {drift_sql('dimension, feature', 'slice')}"
 
 
 def _matrix(spark, folder):
-    return SL.drift_matrix(rows_of(spark, folder), KEY)
+    stored = _stored(spark, folder)
+    return SL.drift_matrix(stored, KEY, SL.slice_members(stored, SPLIT_YEAR, RATE_LIMIT))
 
 
 @query(
@@ -186,7 +192,7 @@ def ks_sql(source: str) -> str:
 _KOLMOGOROV = "2 * list_sum(list_transform(range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END * exp(-2.0 * k * k * reach * reach)))"
 
 
-def _with_p(tested: str) -> str:
+def with_p(tested: str) -> str:
     p = f"CASE WHEN reach < 0.2 THEN 1.0 ELSE least(greatest({_KOLMOGOROV}, 0.0), 1.0) END"
     return f"""SELECT feature, n_a, n_b, {r('ks_stat', 8)} AS ks_stat, {r(p, 6)} AS p_value
  FROM (SELECT *, sqrt(n_a * n_b / (n_a + n_b)) * ks_stat AS reach FROM ({tested}))"""
@@ -195,7 +201,7 @@ def _with_p(tested: str) -> str:
 @query(
     "s10_ks_by_label",
     ctes("features", extra=_EFFECT)
-    + _with_p(ks_sql("(SELECT feature, value, distress_label = 0 AS first FROM base)")),
+    + with_p(ks_sql("(SELECT feature, value, distress_label = 0 AS first FROM base)")),
 )
 def ks_by_label(spark, folder):
     rows = X.engineered(spark, folder)
@@ -211,22 +217,29 @@ def chi_sql(dimension: str, expression: str) -> str:
   FROM (SELECT DISTINCT {expression} AS d FROM features) CROSS JOIN (SELECT DISTINCT distress_label AS l FROM features) LEFT JOIN (SELECT {expression} AS d, distress_label AS l, count(*) AS n FROM features GROUP BY 1, 2) USING (d, l)))"""
 
 
-_CHI_TAIL = """CASE WHEN dof < 1 OR chi2 <= 0 THEN 1.0 WHEN chi2 > 2 * dof + 2000 THEN 0.0
- ELSE least(greatest(1 - list_sum(list_transform(range(0, 3001), lambda n: exp((dof / 2 + n) * ln(chi2 / 2) - chi2 / 2 - lgamma(dof / 2 + n + 1)))), 0.0), 1.0) END"""
+# The tail by another route: a finite sum for an even number of degrees of freedom; for an odd one the complementary error function, as a
+# trapezoidal integral (or its own series near 0), and a finite sum. exp(-chi2 / 2) is kept apart, so logarithms stay exact.
+_ERFC = """CASE WHEN z < 0.6 THEN exp(z * z) * (1 - 2 / sqrt(pi()) * list_sum([(CASE WHEN n % 2 = 0 THEN 1 ELSE -1 END) * pow(z, 2 * n + 1) / (gamma(n + 1) * (2 * n + 1)) FOR n IN range(0, 25)]))
+ ELSE z / pi() * 0.05 * list_sum([exp(-pow(0.05 * k, 2)) / (z * z + pow(0.05 * k, 2)) FOR k IN range(-160, 161)]) END"""
+_LOG_P = f"""CASE WHEN dof < 1 OR chi2 <= 0 THEN 0.0
+ WHEN dof % 2 = 0 THEN -chi2 / 2 + ln(list_sum([exp(k * ln(chi2 / 2) - lgamma(k + 1)) FOR k IN range(0, dof // 2)]))
+ ELSE -chi2 / 2 + ln({_ERFC} + coalesce(list_sum([exp((k - 0.5) * ln(chi2 / 2) - lgamma(k + 0.5)) FOR k IN range(1, (dof - 1) // 2 + 1)]), 0.0)) END / ln(10)"""
 _PERIOD = f"CASE WHEN fiscal_year >= {SPLIT_YEAR} THEN 'post' ELSE 'pre' END"
 
 
 @query(
     "s11_chi_square",
     ctes("features")
-    + f"SELECT dimension, {r('chi2', 5)} AS chi2, dof, {r('p', 6)} AS p_value, p >= 0.05 AS independent FROM (SELECT *, {_CHI_TAIL} AS p FROM ("
+    + f"SELECT dimension, {r('chi2', 5)} AS chi2, dof, {r('log_p', 5)} AS log10_p, {r('pow(10, log_p)', 6)} AS p_value, pow(10, log_p) >= 0.05 AS independent FROM (SELECT *, {_LOG_P} AS log_p FROM (SELECT *, sqrt(greatest(chi2, 0) / 2) AS z FROM ("
     + " UNION ALL ".join(chi_sql(d, e) for d, e in (("company_size_bucket", "company_size_bucket"), ("sector_proxy", "sector_proxy"), ("time_period", _PERIOD)))
-    + "))",
+    + ")))",
 )
 def chi_square(spark, folder):
     rows = _stored(spark, folder).withColumn("time_period", F.when(F.col("fiscal_year") >= SPLIT_YEAR, "post").otherwise("pre"))
     parts = [SL.chi_square(rows, d, "distress_label") for d in ("company_size_bucket", "sector_proxy", "time_period")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumns({"chi2": F.round("chi2", 5), "p_value": F.round("p_value", 6)})
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumns(
+        {"chi2": F.round("chi2", 5), "log10_p": F.round("log10_p", 5), "p_value": F.round("p_value", 6)}
+    )
 
 
 @query(
@@ -250,7 +263,7 @@ _BOTH = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS val
 
 @query(
     "s14_dataset_drift",
-    f"SELECT *, p_value <= 0.05 AS drifted FROM ({_with_p(ks_sql('(' + _BOTH + ')'))})",
+    f"SELECT *, p_value <= 0.05 AS drifted FROM ({with_p(ks_sql('(' + _BOTH + ')'))})",
 )
 def dataset_drift(spark, folder):
     line = X.table(spark, folder, "lineitem")
@@ -283,7 +296,7 @@ _SUMMED = f"""SELECT l.dimension, l.slice, l.feature, avg(CASE WHEN value IS NUL
  UNION ALL SELECT dimension, slice, feature, 'outlier_rate', {r('outlier_rate', 6)} FROM summed""",
 )
 def concentration(spark, folder):
-    stats = SL.slice_stats(rows_of(spark, folder), KEY)
+    stats = _stats(spark, folder)
     long = stats.select("dimension", "slice", "feature", "missing_rate", "outlier_rate").unpivot(
         ["dimension", "slice", "feature"], ["missing_rate", "outlier_rate"], "measure", "value"
     )
@@ -319,11 +332,11 @@ def bias_report(spark, folder):
     from quarterline.operators.joins import stacked
 
     engineered = materialise(X.engineered(spark, folder))
-    rows = SL.sliced(engineered, SPLIT_YEAR, RATE_LIMIT)
-    matrix = SL.drift_matrix(rows, KEY)
+    members = SL.slice_members(engineered, SPLIT_YEAR, RATE_LIMIT)
+    matrix = SL.drift_matrix(engineered, KEY, members)
     fair = _fair(spark, folder)
     return stacked(
-        SL.report_rows("slice statistics", SL.slice_stats(rows, KEY), ["dimension", "slice", "feature"], ["sample_count", *_STATS]),
+        SL.report_rows("slice statistics", SL.slice_stats(engineered, KEY, members=members), ["dimension", "slice", "feature"], ["sample_count", *_STATS]),
         SL.report_rows("drift", matrix, ["dimension", "slice_a", "slice_b", "feature"], ["psi", "js_divergence"]),
         SL.report_rows("drift alerts", SL.drift_alerts(matrix), ["alert"], ["psi"]),
         SL.report_rows("effect sizes", SL.effect_sizes(engineered, KEY), ["feature", "signal"], ["cohens_d"]),

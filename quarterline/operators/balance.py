@@ -1,8 +1,8 @@
-"""Synthetic minority rows between near neighbours, exact at any size."""
+"""Synthetic minority rows between near neighbours."""
 
 from __future__ import annotations
 
-from math import ceil
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,52 +11,53 @@ from pyspark.sql import functions as F
 
 from quarterline.functions.scalars import nan_to_null
 from quarterline.operators.dedup import top_rows
+from quarterline.operators.joins import sized
 from quarterline.operators.ranks import with_row_number
 
 
-def _nearest(left: pd.DataFrame, right: pd.DataFrame, k: int, chunk: int = 512) -> pd.DataFrame:
-    """For each left row its k nearest right rows other than itself; ties by row number."""
-    right = right.sort_values("_row", ignore_index=True)
-    points = np.vstack(right["_x"].to_numpy()) if len(right) else np.empty((0, 0))
-    ids = right["_row"].to_numpy()
-    out = []
-    for start in range(0, len(left) if len(right) else 0, chunk):
-        part = left.iloc[start : start + chunk]
-        x = np.vstack(part["_x"].to_numpy())
-        distance = np.zeros((len(part), len(points)))
-        for column in range(x.shape[1]):
-            distance += (x[:, column : column + 1] - points[None, :, column]) ** 2
-        distance[part["_row"].to_numpy()[:, None] == ids[None, :]] = np.inf
-        order = np.argsort(distance, axis=1, kind="stable")[:, :k]
-        for i, row in enumerate(part["_row"].to_numpy()):
-            for j in order[i]:
-                if np.isfinite(distance[i, j]):
-                    out.append((row, ids[j], distance[i, j], points[j].tolist()))
-    return pd.DataFrame(out, columns=["_row", "_neighbour", "_distance", "_y"])
+def _nearest(keys: np.ndarray, points: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, neighbour, squared distance) of each point's k nearest others in a group, ties by key."""
+    n = len(keys)
+    order = np.argsort(keys, kind="stable")
+    keys, points = keys[order], points[order]
+    distance = np.zeros((n, n))
+    for column in points.T:
+        distance += (column[:, None] - column) ** 2
+    np.fill_diagonal(distance, np.inf)
+    picked = np.argsort(distance, axis=1, kind="stable")[:, : min(k, n - 1)]
+    return np.repeat(keys, picked.shape[1]), keys[picked].ravel(), np.take_along_axis(distance, picked, 1).ravel()
 
 
-def nearest_rows(points: DataFrame, n: int, k: int, block_rows: int = 20_000) -> DataFrame:
-    """k nearest other rows of each row of (_row, _x), by squared distance.
+def nearest_rows(points: DataFrame, n: int, k: int, block_rows: int = 512, projections: int = 4, seed: int = 42) -> DataFrame:
+    """(_row, _neighbour, _distance): k near other rows of each of the n rows of (_row, _x), by squared distance.
 
-    Rows are dealt to blocks of bounded size; each task compares one block with one other and keeps k per row,
-    then the candidates of a row are cut to k. The work is quadratic in the minority, the memory of a task is not.
+    Rows are ranked along random directions and cut into blocks of `block_rows` neighbours, twice with the cuts moved by half a block; all
+    pairs inside a block are compared and each row keeps its k nearest of all blocks. Work grows with n x block_rows. With no more rows than
+    a block holds the neighbours are the nearest ones; beyond it, nearly: rows that are close lie close along most directions.
     """
-    blocks = max(1, ceil(n / block_rows))
-    dealt = points.withColumn("_own", F.pmod(F.col("_row"), F.lit(blocks)).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    row, x = F.col("_row").alias("_row"), F.col("_x").alias("_x")
-    left = dealt.select(F.col("_own").alias("_l"), every.alias("_r"), row, x)
-    right = dealt.select(every.alias("_l"), F.col("_own").alias("_r"), row, x)
+    if n <= block_rows:
+        placed = points.select(F.lit(0).alias("_block"), F.lit(0).alias("_turn"), "_row", "_x")
+    else:
+        # The directions' lengths don't matter; their number of parts comes from one row.
+        width = len(points.first()["_x"])
+        turns = np.random.default_rng(seed).normal(size=(projections, width))
+        parts = []
+        for t, direction in enumerate(turns):
+            place = F.aggregate(F.zip_with("_x", F.array(*[F.lit(float(w)) for w in direction]), lambda a, b: a * b), F.lit(0.0), lambda total, v: total + v)
+            ranked = with_row_number(points.withColumn("_place", place), ["_place", "_row"], "_at")
+            for moved in (0, block_rows // 2):
+                parts.append(ranked.select(F.floor((F.col("_at") - 1 + moved) / block_rows).cast("int").alias("_block"), F.lit(2 * t + (moved > 0)).alias("_turn"), "_row", "_x"))
+        placed = reduce(DataFrame.unionAll, parts)
 
-    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return _nearest(a, b, k)
+    def compare(block: pd.DataFrame) -> pd.DataFrame:
+        rows, neighbours, distances = _nearest(block["_row"].to_numpy(), np.vstack(block["_x"].to_numpy()), k)
+        return pd.DataFrame({"_row": rows, "_neighbour": neighbours, "_distance": distances})
 
-    schema = "_row bigint, _neighbour bigint, _distance double, _y array<double>"
-    near = left.groupBy("_l", "_r").cogroup(right.groupBy("_l", "_r")).applyInPandas(compare, schema)
-    return top_rows(near, ["_row"], [F.col("_distance"), F.col("_neighbour")], k)
+    near = placed.groupBy("_turn", "_block").applyInPandas(compare, "_row bigint, _neighbour bigint, _distance double")
+    return top_rows(near.distinct(), ["_row"], [F.col("_distance"), F.col("_neighbour")], k)
 
 
-def oversample(train: DataFrame, features: list[str], label: str, key: list[str], neighbours: int = 5, seed: int = 42, block_rows: int = 20_000) -> DataFrame:
+def oversample(train: DataFrame, features: list[str], label: str, key: list[str], neighbours: int = 5, seed: int = 42, block_rows: int = 512) -> DataFrame:
     """Train rows plus synthetic minority rows until both classes are equal (two small jobs fit the counts).
 
     Missing and non-finite features count as 0; other columns of a synthetic row are NULL. Which neighbour and
@@ -78,7 +79,9 @@ def oversample(train: DataFrame, features: list[str], label: str, key: list[str]
     ranked = with_row_number(small, ["_ticket", *key], "_row").select("_row", F.array(*features).alias("_x"))
     # Each row makes floor(needed / n) synthetic rows, the first ones by ticket one more.
     copies = F.lit(needed // n) + (F.col("_row") <= needed % n).cast("int")
-    near = nearest_rows(ranked, n, neighbours, block_rows)
+    ranked = sized(ranked)
+    near = nearest_rows(ranked, n, neighbours, block_rows, seed=seed)
+    near = near.join(ranked.select(F.col("_row").alias("_neighbour"), F.col("_x").alias("_y")), "_neighbour")
     place = F.struct("_distance", "_neighbour", "_y")
     listed = near.groupBy("_row").agg(F.array_sort(F.collect_list(place)).alias("_near"))  # at most k entries
     joined = ranked.join(listed, "_row")

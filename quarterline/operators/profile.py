@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from quarterline.operators import folds
 from quarterline.operators.ranks import group_quantiles
 from quarterline.operators.reshape import lengthen
 
@@ -110,23 +111,24 @@ def histograms(df: DataFrame, columns: list[str], bins: int, groups: list[str] |
 def score_summary(df: DataFrame, score: str, high: float = 0.7) -> DataFrame:
     """(rows, mean, high_risk) joined with the exact median."""
     base = df.agg(F.count(score).alias("rows"), F.avg(score).alias("mean"), F.count_if(F.col(score) >= high).alias("high_risk"))
-    median = group_quantiles(df, [], score, {"median": 0.5}).first()
-    return base.withColumn("median", F.lit(median["median"]))
+    median = folds.group_summaries(df, [], [score], {"median": 0.5}).first()
+    return base.withColumn("median", F.lit(median["median"] if median else None).cast("double"))
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """(feature_a, feature_b, correlation), pairwise complete; a table without rows has no pairs.
 
-    A row meets itself as (place, place, value, value) and is folded into one state per pair before the shuffle, so plan and state stay
-    small for many columns, which an aggregate per pair would not.
+    Sums of products come from matrix products per batch of rows, one small row per pair and task. A column that is constant where the other
+    has values correlates with none: NaN; with under two rows in common: null.
     """
     named = F.array(*[F.lit(c) for c in columns])
-    values = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("v"))
-    first = values.select("v", F.posexplode("v").alias("i", "x"))
-    both = first.select("i", "x", F.posexplode(F.slice("v", F.col("i") + 1, len(columns))).alias("k", "y"))
-    folded = both.groupBy("i", "k").agg(F.corr("x", "y").alias("correlation"))
-    return folded.select(
-        F.element_at(named, F.col("i") + 1).alias("feature_a"), F.element_at(named, F.col("i") + F.col("k") + 1).alias("feature_b"), "correlation"
+    sums = folds.comoments(df, columns).where(F.col("n") > 0)
+    n, x, y = F.col("n"), F.col("x"), F.col("y")
+    # What rounding leaves of a constant's squares is nothing.
+    vx, vy = (F.when(F.abs(v) > 1e-13 * whole, v).otherwise(0.0) for v, whole in ((F.col("xx") - x * x / n, F.col("xx")), (F.col("yy") - y * y / n, F.col("yy"))))
+    both = F.when((vx > 0) & (vy > 0), (F.col("xy") - x * y / n) / (F.sqrt(vx) * F.sqrt(vy))).otherwise(F.lit(float("nan")))
+    return sums.select(
+        F.element_at(named, F.col("i") + 1).alias("feature_a"), F.element_at(named, F.col("k") + 1).alias("feature_b"), F.when(n > 1, both).alias("correlation")
     )
 
 
@@ -136,7 +138,10 @@ def strongest_pairs(correlated: DataFrame, n: int = 20) -> DataFrame:
 
 
 def five_numbers(df: DataFrame, columns: list[str], groups: list[str] | None = None, accuracy: int | None = None) -> DataFrame:
+    """(groups, feature, low, q25, median, q75, high); exact by refinement of bins, or sketches with `accuracy`."""
     groups = groups or []
+    if accuracy is None and (made := folds.group_summaries(df, groups, columns, {k: FIVE_NUMBERS[k] for k in ("q25", "median", "q75")})) is not None:
+        return made.select(*groups, "feature", *FIVE_NUMBERS)
     return group_quantiles(lengthen(df, groups, columns), [*groups, "feature"], "value", FIVE_NUMBERS, accuracy)
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarterline.operators import folds
 from quarterline.operators.dedup import duplicate_count
 from quarterline.operators.ranks import group_quantiles
 from quarterline.operators.reshape import lengthen
@@ -34,8 +35,9 @@ def require_finite(df: DataFrame, absent: list[str] | None = None) -> DataFrame:
 
 def iqr_bounds(df: DataFrame, columns: list[str], factor: float = 1.5, accuracy: int | None = None) -> DataFrame:
     """(feature, low, high) per column; columns whose range between quartiles is 0 or unknown are left out."""
-    long = lengthen(df, [], columns)
-    quartiles = group_quantiles(long, ["feature"], "value", {"q1": 0.25, "q3": 0.75}, accuracy)
+    wanted = {"q1": 0.25, "q3": 0.75}
+    if accuracy is not None or (quartiles := folds.group_summaries(df, [], columns, wanted)) is None:
+        quartiles = group_quantiles(lengthen(df, [], columns), ["feature"], "value", wanted, accuracy)
     spread = F.col("q3") - F.col("q1")
     return quartiles.where(spread != 0).select(
         "feature", (F.col("q1") - factor * spread).alias("low"), (F.col("q3") + factor * spread).alias("high")
@@ -149,6 +151,10 @@ def input_findings(df: DataFrame, identity: list[str], label: str = "distress_la
     return _findings_text(df, known, counts)
 
 
+# The patterns of versions, schema versions and score paths that the contracts ask for.
+VERSION, SCHEMA_VERSION, SCORE_PATH = r"^v\d+", r"^\d+\.\d+$", r"^gs://.*\.parquet$"
+
+
 def score_rules(columns: list[str]) -> dict[str, Column]:
     """The row contract of a score table as breaking conditions."""
     c = F.col
@@ -157,7 +163,7 @@ def score_rules(columns: list[str]) -> dict[str, Column]:
         "distress_probability in [0, 1]": c("distress_probability").isNull() | ~c("distress_probability").between(0, 1),
         "confidence_interval_lower in [0, 1]": ~c("confidence_interval_lower").between(0, 1),
         "confidence_interval_upper in [0, 1]": ~c("confidence_interval_upper").between(0, 1),
-        "model_version looks like v1": c("model_version").isNull() | ~c("model_version").rlike(r"^v\d+"),
+        "model_version looks like v1": c("model_version").isNull() | ~c("model_version").rlike(VERSION),
         "mlflow_run_id is not empty": c("mlflow_run_id").isNull() | (F.length("mlflow_run_id") < 1),
         "model_roc_auc in [0, 1]": c("model_roc_auc").isNull() | ~c("model_roc_auc").between(0, 1),
     }
@@ -182,9 +188,9 @@ def manifest_rules() -> dict[str, Column]:
     """Contract of a one-row batch manifest."""
     c = F.col
     return {
-        "schema_version is N.N": c("schema_version").isNull() | ~c("schema_version").rlike(r"^\d+\.\d+$"),
+        "schema_version is N.N": c("schema_version").isNull() | ~c("schema_version").rlike(SCHEMA_VERSION),
         "model_name is not empty": c("model_name").isNull() | (F.length("model_name") < 1),
-        "model_version looks like v1": c("model_version").isNull() | ~c("model_version").rlike(r"^v\d+"),
+        "model_version looks like v1": c("model_version").isNull() | ~c("model_version").rlike(VERSION),
         "mlflow_run_id is not empty": c("mlflow_run_id").isNull() | (F.length("mlflow_run_id") < 1),
         "trained_at is a time": c("trained_at").try_cast("timestamp").isNull(),
         "scored_at is a time": c("scored_at").try_cast("timestamp").isNull(),
@@ -192,7 +198,7 @@ def manifest_rules() -> dict[str, Column]:
         "prediction_horizon at least 1": c("prediction_horizon").isNull() | (c("prediction_horizon") < 1),
         "features_used is not empty": c("features_used").isNull() | (F.size("features_used") < 1),
         "row_count is positive": c("row_count").isNull() | (c("row_count") <= 0),
-        "scores path is a gs parquet path": c("gcs_scores_path").isNull() | ~c("gcs_scores_path").rlike(r"^gs://.*\.parquet$"),
+        "scores path is a gs parquet path": c("gcs_scores_path").isNull() | ~c("gcs_scores_path").rlike(SCORE_PATH),
         "duration is not negative": c("inference_duration_seconds").isNull() | (c("inference_duration_seconds") < 0),
     }
 

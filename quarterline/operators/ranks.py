@@ -8,10 +8,16 @@ over many range partitions.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from quarterline.operators.joins import sized
 from quarterline.session import materialise
 
 _POSITION_BITS = (1 << 33) - 1
@@ -76,28 +82,114 @@ def tile_of(order: list[str], cuts: list[tuple]) -> Column:
     return tile
 
 
+#: Rows of one group that a task holds back until it knows the group's sum.
+HELD = 1 << 16
+
+
+def scanned(df: DataFrame, groups: list[str], order: list[str], sums: list[str]) -> DataFrame:
+    """The rows ranged along (groups, order), each with its running sums inside the stretch of its group in its partition.
+
+    Adds `_part`, `_run` (the number of a stretch whose group may go on in another partition or is too long to hold back; else null),
+    `_last` (its last row), `_in_<name>` and `_sum_<name>` (the group's sum, null where `_run` is set). One exchange; the scan is done where the
+    rows lie.
+    """
+    kinds = dict(df.dtypes)
+    whole = {c: kinds[c] in ("tinyint", "smallint", "int", "bigint") for c in sums}
+    added = [f"_in_{c}" for c in sums] + [f"_sum_{c}" for c in sums]
+    types = ["bigint" if whole[c] else "double" for c in sums] * 2
+    schema = ", ".join([f"`{n}` {t}" for n, t in df.dtypes] + ["_part int", "_run bigint", "_last boolean"] + [f"`{n}` {t}" for n, t in zip(added, types)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        # The stretch at hand: its rows held back, its key, number and sums so far, and whether its group may have rows elsewhere.
+        held: list[tuple[pa.RecordBatch, list[np.ndarray]]] = []
+        key, stretch, elsewhere = None, 0, True
+        before = [0] * len(sums)
+
+        def marked(piece: pa.RecordBatch, running: list[np.ndarray], totals: list | None, last: bool = False) -> pa.RecordBatch:
+            n = piece.num_rows
+            ends = np.zeros(n, bool)
+            ends[-1] = last
+            columns = [pa.array(np.full(n, part, np.int32)), pa.nulls(n, pa.int64()) if totals else pa.array(np.full(n, stretch)), pa.array(ends), *map(pa.array, running)]
+            columns += [pa.array(t) if totals else pa.nulls(n, pa.array(r[:0]).type) for t, r in zip(totals or running, running)]
+            return pa.RecordBatch.from_arrays([*piece.columns, *columns], [*piece.schema.names, "_part", "_run", "_last", *added])
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            nonlocal stretch, elsewhere
+            for i, (piece, running) in enumerate(held):
+                totals = None if elsewhere else [np.full(piece.num_rows, t) for t in before]
+                yield marked(piece, running, totals, i == len(held) - 1)
+            held.clear()
+            stretch, elsewhere = stretch + elsewhere, False
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = [batch.column(batch.schema.get_field_index(g)) for g in groups]
+            changes = np.zeros(batch.num_rows, bool)
+            changes[0] = True
+            for column in keys:
+                code = column.dictionary_encode().indices.fill_null(-1).to_numpy(False)
+                changes[1:] |= code[1:] != code[:-1]
+            starts = np.flatnonzero(changes)
+            ends = np.append(starts[1:], batch.num_rows)
+            running = []
+            for c in sums:
+                values = batch.column(batch.schema.get_field_index(c)).fill_null(0).to_numpy(False).astype(np.int64 if whole[c] else float)
+                so_far = np.cumsum(values)
+                running.append(so_far - np.repeat(so_far[starts] - values[starts], ends - starts))
+            here = tuple(column[0].as_py() for column in keys)
+            if held and here != key:
+                yield from ended()
+                before = [0] * len(sums)
+            first = [r[: ends[0]] + t for r, t in zip(running, before)]
+            held.append((batch.slice(0, ends[0]), first))
+            key, before = here, [r[-1] for r in first]
+            if len(starts) > 1:
+                yield from ended()
+                if len(starts) > 2:
+                    a, b = starts[1], starts[-1]
+                    totals = [np.repeat(r[ends[1:-1] - 1], (ends - starts)[1:-1]) for r in running]
+                    yield marked(batch.slice(a, b - a), [r[a:b] for r in running], totals)
+                last = batch.slice(starts[-1]), [r[starts[-1] :] for r in running]
+                held.append(last)
+                key, before = tuple(column[int(starts[-1])].as_py() for column in keys), [r[-1] for r in last[1]]
+            if sum(piece.num_rows for piece, _ in held) > HELD:
+                # A stretch this long gets its sum from the table of stretches; its last row stays, to be marked if no more follow.
+                elsewhere = True
+                piece, running = held.pop()
+                for early in [*held, (piece.slice(0, piece.num_rows - 1), [r[:-1] for r in running])]:
+                    if early[0].num_rows:
+                        yield marked(*early, None)
+                held[:] = [(piece.slice(piece.num_rows - 1), [r[-1:] for r in running])]
+        if held:
+            elsewhere = True
+            yield from ended()
+
+    return df.orderBy(*groups, *order).mapInArrow(run, schema)
+
+
 def with_running_totals(df: DataFrame, groups: list[str], order: list[str], sums: list[str]) -> DataFrame:
     """Add `<name>_upto` (running sum inside each group) and `<name>_total` (the group's sum).
 
-    Rows are unique on (groups, order). The window is bounded by one range partition of one group; a group
-    that spans many partitions is joined up by per-partition subtotals.
+    Rows are unique on (groups, order). They are dealt out once, by ranges, and scanned in place; a group that spans many partitions is
+    joined up by the sums of its stretches, of which a partition has two plus one for each `HELD` rows. Sums are longs or doubles.
     """
-    placed = materialise(df.orderBy(*groups, *order)).withColumn("_part", F.spark_partition_id())
-    inside = W.partitionBy("_part", *groups).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    running = placed.withColumns({f"_in_{c}": F.sum(c).over(inside) for c in sums})
-    subtotals = placed.groupBy("_part", *groups).agg(*[F.sum(c).alias(f"_sub_{c}") for c in sums])
-    earlier = W.partitionBy(*groups).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    rows = sized(scanned(df, groups, order, sums))
+    # The last row of a stretch carries its sums; a stretch that was let go early is found by its last row as well.
+    ends = rows.where("_last AND _run IS NOT NULL").select("_part", "_run", *groups, *[F.col(f"_in_{c}").alias(f"_sub_{c}") for c in sums])
+    earlier = W.partitionBy(*groups).orderBy("_part", "_run").rowsBetween(W.unboundedPreceding, -1)
     picks = []
     for c in sums:
         picks.append(F.coalesce(F.sum(f"_sub_{c}").over(earlier), F.lit(0)).alias(f"_before_{c}"))
-        picks.append(F.sum(f"_sub_{c}").over(W.partitionBy(*groups)).alias(f"{c}_total"))
-    offsets = subtotals.select("_part", *groups, *picks)
-    joined = running.join(offsets, _same(running, offsets, ["_part", *groups]))
+        picks.append(F.sum(f"_sub_{c}").over(W.partitionBy(*groups)).alias(f"_all_{c}"))
+    offsets = ends.select(F.col("_part").alias("_of_part"), F.col("_run").alias("_of_run"), *picks)
+    joined = rows.join(F.broadcast(offsets), (F.col("_part") == F.col("_of_part")) & (F.col("_run") == F.col("_of_run")), "left")
     totals = []
     for c in sums:
-        totals.append((F.col(f"_in_{c}") + F.col(f"_before_{c}")).alias(f"{c}_upto"))
-        totals.append(F.col(f"{c}_total"))
-    return joined.select(*[running[c] for c in df.columns], *totals)
+        totals.append((F.col(f"_in_{c}") + F.coalesce(f"_before_{c}", F.lit(0))).alias(f"{c}_upto"))
+        totals.append(F.coalesce(f"_sum_{c}", f"_all_{c}").alias(f"{c}_total"))
+    return joined.select(*df.columns, *totals)
 
 
 def group_quantiles(

@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from quarterline.operators import folds
 from quarterline.operators.joins import sized
 from quarterline.operators.profile import bin_of
 from quarterline.operators.ranks import group_quantiles, with_running_totals
@@ -19,27 +21,29 @@ DRIFT_HIGH, DRIFT_MODERATE = 0.25, 0.10
 ALERT_GAP = 0.10
 
 
-def slice_entries(df: DataFrame, split_year: int = 2016, rate_limit: float = 2.0) -> Column:
-    """Array of (dimension, slice) for a row; dimensions whose column the table lacks are left out."""
-    entries = []
-
-    def entry(dimension: str, name: Column) -> Column:
-        return F.when(name.isNotNull(), F.struct(F.lit(dimension).alias("dimension"), name.alias("slice")))
-
+def slice_members(df: DataFrame, split_year: int = 2016, rate_limit: float = 2.0) -> folds.Members:
+    """(dimension, slice) of a row for each dimension whose column the table has; a null slice is none."""
+    members = []
     if "company_size_bucket" in df.columns:
-        entries.append(entry("company_size", F.col("company_size_bucket")))
+        members.append(("company_size", F.col("company_size_bucket")))
     if "sector_proxy" in df.columns:
-        entries.append(entry("sector_proxy", F.col("sector_proxy")))
+        members.append(("sector_proxy", F.col("sector_proxy")))
     if "fiscal_year" in df.columns:
         year = F.col("fiscal_year")
-        entries.append(entry("time_period", F.when(year < split_year, f"pre_{split_year}").when(year >= split_year, f"post_{split_year}")))
+        members.append(("time_period", F.when(year < split_year, f"pre_{split_year}").when(year >= split_year, f"post_{split_year}")))
     if "fed_funds" in df.columns:
         rate = F.col("fed_funds")
-        entries.append(entry("macro_regime", F.when(rate <= rate_limit, "low_rate").when(rate > rate_limit, "high_rate")))
+        members.append(("macro_regime", F.when(rate <= rate_limit, "low_rate").when(rate > rate_limit, "high_rate")))
     if "distress_label" in df.columns:
         label = F.col("distress_label")
-        entries.append(entry("distress_label", F.when(label == 0, "healthy (label=0)").when(label == 1, "distressed (label=1)")))
-    return F.array_compact(F.array(*entries))
+        members.append(("distress_label", F.when(label == 0, "healthy (label=0)").when(label == 1, "distressed (label=1)")))
+    return [(F.lit(dimension), name) for dimension, name in members]
+
+
+def slice_entries(df: DataFrame, split_year: int = 2016, rate_limit: float = 2.0) -> Column:
+    """Array of (dimension, slice) for a row."""
+    members = slice_members(df, split_year, rate_limit)
+    return F.array_compact(F.array(*[F.when(name.isNotNull(), F.struct(dimension.alias("dimension"), name.alias("slice"))) for dimension, name in members]))
 
 
 def sliced(df: DataFrame, split_year: int = 2016, rate_limit: float = 2.0) -> DataFrame:
@@ -53,10 +57,31 @@ def slice_values(rows: DataFrame, columns: list[str]) -> DataFrame:
     return typed.unpivot(["dimension", "slice"], columns, "feature", "value")
 
 
-def slice_stats(rows: DataFrame, columns: list[str], accuracy: int | None = None) -> DataFrame:
-    """Count, moments, quartiles, missing rate and 3-sigma outlier rate per (dimension, slice, feature)."""
+def _members(members: folds.Members | None) -> folds.Members:
+    return [(F.col("dimension"), F.col("slice"))] if members is None else members
+
+
+def slice_stats(rows: DataFrame, columns: list[str], accuracy: int | None = None, members: folds.Members | None = None) -> DataFrame:
+    """Count, moments, quartiles, missing rate and 3-sigma outlier rate per (dimension, slice, feature).
+
+    `rows` are sliced rows, or a table whose `members` name the slices of a row; the latter reads each row once for all its slices. Exact;
+    with `accuracy` the quartiles are sketches.
+    """
+    quartiles = {"q25": 0.25, "median": 0.5, "q75": 0.75}
+    members = _members(members)
+    if accuracy is None and (made := folds.summaries(rows, members, columns, quartiles, spread=True)) is not None:
+        return made.select(
+            "dimension", "slice", "feature", F.col("rows").alias("sample_count"), "mean", "std",
+            (1 - F.col("present") / F.col("rows")).alias("missing_rate"), "outlier_rate", *quartiles,
+        )
+    # Very many slices, or sketches: rows are made long and ranked.
+    exploded = rows.withColumn("_in", F.array(*[F.struct(d.alias("dimension"), s.alias("slice")) for d, s in members])).select(*columns, F.inline("_in"))
+    return long_stats(slice_values(exploded.where("dimension IS NOT NULL AND slice IS NOT NULL"), columns), quartiles, accuracy)
+
+
+def long_stats(long: DataFrame, quartiles: dict[str, float], accuracy: int | None = None) -> DataFrame:
+    """`slice_stats` of (dimension, slice, feature, value) rows, for any number of slices."""
     keys = ["dimension", "slice", "feature"]
-    long = slice_values(rows, columns)
     moments = long.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("sample_count"),
         F.avg("value").alias("mean"),
@@ -71,28 +96,23 @@ def slice_stats(rows: DataFrame, columns: list[str], accuracy: int | None = None
         .groupBy(*keys)
         .agg(F.avg(F.when(F.col("_s") > 0, F.coalesce(far, F.lit(False)).cast("double")).otherwise(0.0)).alias("outlier_rate"))
     )
-    quartiles = group_quantiles(long, keys, "value", {"q25": 0.25, "median": 0.5, "q75": 0.75}, accuracy)
-    return moments.join(outliers, keys, "left").join(quartiles, keys, "left")
+    return moments.join(outliers, keys, "left").join(group_quantiles(long, keys, "value", quartiles, accuracy), keys, "left")
 
 
 def _psi(first: list[str], second: list[str], bins: int) -> Column:
-    n_a = reduce(lambda a, b: a + b, [F.col(c) for c in first])
-    n_b = reduce(lambda a, b: a + b, [F.col(c) for c in second])
     terms = []
     for a, b in zip(first, second):
-        p = (F.col(a) + SMOOTHING) / (n_a + bins * SMOOTHING)
-        q = (F.col(b) + SMOOTHING) / (n_b + bins * SMOOTHING)
+        p = (F.col(a) + SMOOTHING) / (F.col("n_a") + bins * SMOOTHING)
+        q = (F.col(b) + SMOOTHING) / (F.col("n_b") + bins * SMOOTHING)
         terms.append((q - p) * F.log(q / p))
     return reduce(lambda a, b: a + b, terms)
 
 
 def _js(first: list[str], second: list[str]) -> Column:
     """Jensen-Shannon distance: square root of the divergence in natural logarithms."""
-    n_a = reduce(lambda a, b: a + b, [F.col(c) for c in first])
-    n_b = reduce(lambda a, b: a + b, [F.col(c) for c in second])
     terms = []
     for a, b in zip(first, second):
-        p, q = F.col(a) / n_a, F.col(b) / n_b
+        p, q = F.col(a) / F.col("n_a"), F.col(b) / F.col("n_b")
         middle = (p + q) / 2
         for share in (p, q):
             terms.append(F.when(share > 0, share * F.log(share / middle)).otherwise(0.0))
@@ -100,11 +120,68 @@ def _js(first: list[str], second: list[str]) -> Column:
     return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
 
 
+def _rated(folded: DataFrame, keys: list[str], bins: int) -> DataFrame:
+    """psi and js_divergence from counters _a0.., _b0.., counts n_a, n_b and the range low, high."""
+    first, second = [f"_a{i}" for i in range(bins)], [f"_b{i}" for i in range(bins)]
+    small = (F.col("n_a") < 10) | (F.col("n_b") < 10)
+    flat = F.col("low") == F.col("high")
+
+    def guarded(measure: Column) -> Column:
+        return F.when(small, None).when(flat, 0.0).otherwise(measure)
+
+    return folded.select(*keys, guarded(_psi(first, second, bins)).alias("psi"), guarded(_js(first, second)).alias("js_divergence"))
+
+
 def pair_drift(long: DataFrame, groups: list[str], side: str, bins: int = 10) -> DataFrame:
-    """PSI and JS distance between every two sides of each group, over their combined range.
+    """PSI and JS distance between every two sides of each group, over their combined range: `long` has (groups, side, value)."""
+    made = _member_drift(long, [(F.to_json(F.struct(*groups)), F.col(side))], ["value"], bins)
+    if made is None:
+        return long_drift(long, groups, side, bins)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in long.select(*groups).schema.fields)
+    opened = made.withColumn("_g", F.from_json("dimension", kinds))
+    return opened.select(*[F.col(f"_g.`{g}`").alias(g) for g in groups], "slice_a", "slice_b", "psi", "js_divergence")
+
 
-    `long` has (groups, side, value). Pairs are formed on the table of ranges, one row per side, never on rows;
-    each row is then binned once per pair its side belongs to and folded into counters before the shuffle.
+def _member_drift(df: DataFrame, members: folds.Members, columns: list[str], bins: int) -> DataFrame | None:
+    """Drift of every column between every two slices of a dimension, in two passes over the wide rows.
+
+    A row's value is binned once for each other slice of its dimension, in an array of counters; None if those would be more than a task
+    holds. The ranges of pairs come from the extents, one row per slice and column.
+    """
+    if (found := folds.extents(df, members, columns)) is None:
+        return None
+    others = [[k for k, key in enumerate(found.keys) if key[0] == own[0] and k != i] for i, own in enumerate(found.keys)]
+    ranges = max(map(len, others), default=0)
+    if found.present.size * ranges * bins > folds.CELLS:
+        return None
+    low, high = (np.full((*found.present.shape, ranges), np.nan) for _ in range(2))
+    for i, partners in enumerate(others):
+        for j, k in enumerate(partners):
+            # NaN where one of the two has no values.
+            low[i, :, j], high[i, :, j] = np.minimum(found.low[i], found.low[k]), np.maximum(found.high[i], found.high[k])
+    counts = np.zeros((*low.shape, bins), np.int64)
+    if ranges:
+        ((cells, _, amounts),) = folds.fold(df, members, found, [folds.EqualBins(low, high, bins)])
+        counts.reshape(-1)[cells] = amounts.astype(np.int64)
+    rows = []
+    for i, partners in enumerate(others):
+        for j, k in enumerate(partners):
+            if i < k:
+                back = others[k].index(i)
+                for f, name in enumerate(columns):
+                    if found.present[i, f] and found.present[k, f]:
+                        sizes = int(found.present[i, f]), int(found.present[k, f])
+                        rows.append((found.keys[i][0], name, found.keys[i][1], found.keys[k][1], *sizes, float(low[i, f, j]), float(high[i, f, j]), *counts[i, f, j].tolist(), *counts[k, f, back].tolist()))
+    counters = ", ".join(f"_{side}{i} long" for side in "ab" for i in range(bins))
+    table = df.sparkSession.createDataFrame(rows, f"dimension string, feature string, slice_a string, slice_b string, n_a long, n_b long, low double, high double, {counters}")
+    return _rated(table, ["dimension", "feature", "slice_a", "slice_b"], bins)
+
+
+def long_drift(long: DataFrame, groups: list[str], side: str, bins: int = 10) -> DataFrame:
+    """`pair_drift` for any number of sides.
+
+    Pairs are formed on the table of ranges, one row per side, never on rows; each row is then binned once per pair its side belongs to and
+    folded into counters before the shuffle.
     """
     present = long.where(F.col("value").isNotNull())
     extent = present.groupBy(*groups, side).agg(
@@ -129,19 +206,16 @@ def pair_drift(long: DataFrame, groups: list[str], side: str, bins: int = 10) ->
     folded = place.groupBy(*keys).agg(
         F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"), F.max("low").alias("low"), F.max("high").alias("high"), *counters
     )
-    first, second = [f"_a{i}" for i in range(bins)], [f"_b{i}" for i in range(bins)]
-    small = (F.col("n_a") < 10) | (F.col("n_b") < 10)
-    flat = F.col("low") == F.col("high")
-
-    def guarded(measure: Column) -> Column:
-        return F.when(small, None).when(flat, 0.0).otherwise(measure)
-
-    return folded.select(*keys, guarded(_psi(first, second, bins)).alias("psi"), guarded(_js(first, second)).alias("js_divergence"))
+    return _rated(folded, keys, bins)
 
 
-def drift_matrix(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """PSI and JS distance per (dimension, slice pair, feature)."""
-    return pair_drift(slice_values(rows, columns), ["dimension", "feature"], "slice")
+def drift_matrix(rows: DataFrame, columns: list[str], members: folds.Members | None = None) -> DataFrame:
+    """PSI and JS distance per (dimension, slice pair, feature); `rows` and `members` as in `slice_stats`."""
+    members = _members(members)
+    if (made := _member_drift(rows, members, columns, 10)) is not None:
+        return made
+    exploded = rows.withColumn("_in", F.array(*[F.struct(d.alias("dimension"), s.alias("slice")) for d, s in members])).select(*columns, F.inline("_in"))
+    return long_drift(slice_values(exploded.where("dimension IS NOT NULL AND slice IS NOT NULL"), columns), ["dimension", "feature"], "slice")
 
 
 def slice_pairs(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -219,30 +293,53 @@ def ks_test(long: DataFrame, first: Column) -> DataFrame:
     return tested.withColumn("p_value", ks_p_value(F.col("ks_stat"), F.col("n_a"), F.col("n_b")))
 
 
-def chi_square_p_value(statistic: Column, dof: Column) -> Column:
-    """Upper tail of the chi-square distribution: one minus the power series of the lower incomplete gamma function.
+def _log_gamma_after(dof: Column) -> Column:
+    """ln gamma(dof / 2 + 1): the factors dof / 2, dof / 2 - 1, ... end at 1 or at 1/2, where the square root of pi is left."""
+    half = dof / 2
+    rest = F.when(dof % 2 == 1, 0.5 * math.log(math.pi)).otherwise(0.0)
+    return F.aggregate(F.sequence(F.lit(0), F.ceil(half).cast("int") - 1), rest, lambda total, j: total + F.log(half - j))
+
 
-    Terms are carried as logarithms, so none overflows. Without freedom, or at a statistic of 0, the value is 1; beyond twice the degrees
-    of freedom plus 2000 it is 0 to more than a hundred places.
+def chi_square_log_p(statistic: Column, dof: Column) -> Column:
+    """Natural logarithm of the upper tail of the chi-square distribution, to full relative precision however small the tail is.
+
+    Left of the mean one minus the power series of the lower incomplete gamma function, right of it the continued fraction of the upper one,
+    evaluated from the front by Lentz' method. Without freedom, or at a statistic of 0, the tail is 1.
     """
     half, x = dof / 2, statistic / 2
-    # ln gamma(half + 1): the factors half, half - 1, ... end at 1 or at 1/2, where the square root of pi is left.
-    rest = F.when(dof % 2 == 1, 0.5 * math.log(math.pi)).otherwise(0.0)
-    log_gamma = F.aggregate(F.sequence(F.lit(0), F.ceil(half).cast("int") - 1), rest, lambda total, j: total + F.log(half - j))
-    first = half * F.log(x) - x - log_gamma
-    last = F.ceil(x + 12 * F.sqrt(x) + 60).cast("int")
+    edge = half * F.log(x) - x - _log_gamma_after(dof)
 
-    def step(state, n):
-        term = state["term"] + F.log(x / (half + n))
-        return F.struct(term.alias("term"), (state["total"] + F.exp(term)).alias("total"))
+    def more(state, n):
+        term = state["term"] * x / (half + n)
+        return F.struct(term.alias("term"), (state["total"] + term).alias("total"))
 
-    lower = F.aggregate(F.sequence(F.lit(1), last), F.struct(first.alias("term"), F.exp(first).alias("total")), step)["total"]
-    upper = F.least(F.greatest(1 - lower, F.lit(0.0)), F.lit(1.0))
-    return F.when((dof < 1) | (statistic <= 0), 1.0).when(statistic > 2 * dof + 2000, 0.0).otherwise(upper)
+    one = F.lit(1.0)
+    # At most one beyond the mean there, so the terms fall off soon.
+    series = F.aggregate(F.sequence(F.lit(1), (40 + 12 * F.sqrt(half)).cast("int")), F.struct(one.alias("term"), one.alias("total")), more)["total"]
+    left = F.log1p(-F.least(F.exp(edge) * series, one - 1e-16))
+
+    def further(state, i):
+        a = -i * (i - half)
+        b = state["b"] + 2.0
+        d = 1 / (a * state["d"] + b)
+        c = b + a / state["c"]
+        return F.struct(b.alias("b"), c.alias("c"), d.alias("d"), (state["h"] * c * d).alias("h"))
+
+    b0 = x + 1 - half
+    start = F.struct(b0.alias("b"), F.lit(1e300).alias("c"), (1 / b0).alias("d"), (1 / b0).alias("h"))
+    fraction = F.aggregate(F.sequence(F.lit(1), (60 + 12 * F.sqrt(half)).cast("int")), start, further)["h"]
+    # gamma(half) is gamma(half + 1) / half.
+    right = edge + F.log(half) + F.log(fraction)
+    return F.when((dof < 1) | (statistic <= 0), 0.0).when(x < half + 1, left).otherwise(right)
+
+
+def chi_square_p_value(statistic: Column, dof: Column) -> Column:
+    """Upper tail of the chi-square distribution; 0 only where a double can't hold it."""
+    return F.exp(chi_square_log_p(statistic, dof))
 
 
 def chi_square(df: DataFrame, dimension: str, label: str, labels: tuple = (0, 1), alpha: float = 0.05) -> DataFrame:
-    """Chi-square statistic, degrees of freedom, p-value and verdict; Yates' correction with one degree of freedom."""
+    """Chi-square statistic, degrees of freedom, p-value with its logarithm, and verdict; Yates' correction with one degree of freedom."""
     names = [f"n_{v}" for v in labels]
     table = contingency(df.where(F.col(dimension).isNotNull()), dimension, label, list(labels))
     row_total = reduce(lambda a, b: a + b, [F.col(n) for n in names])
@@ -259,8 +356,9 @@ def chi_square(df: DataFrame, dimension: str, label: str, labels: tuple = (0, 1)
     )
     statistic = F.when(F.col("dof") == 1, F.col("_yates")).otherwise(F.col("_plain"))
     tested = shaped.select(F.lit(dimension).alias("dimension"), statistic.alias("chi2"), "dof")
-    p = chi_square_p_value(F.col("chi2"), F.col("dof"))
-    return tested.withColumn("p_value", p).withColumn("independent", F.col("p_value") >= alpha)
+    log_p = chi_square_log_p(F.col("chi2"), F.col("dof"))
+    tested = tested.withColumn("log10_p", log_p / math.log(10)).withColumn("p_value", F.exp(F.col("log10_p") * math.log(10)))
+    return tested.withColumn("independent", F.col("p_value") >= alpha)
 
 
 def disparate_impact(df: DataFrame, dimension: str, label: str) -> DataFrame:
@@ -316,7 +414,7 @@ def threshold_suggestions(
         "slice",
         F.lit(base).alias("current_threshold"),
         suggested.alias("suggested_threshold"),
-        F.format_string(f"{metric} gap of %.4f exceeds {limit * 100:g}%% threshold", "gap").alias("reason"),
+        F.format_string(f"{metric} is %.4f under the mean of all slices (limit {limit:g})", "gap").alias("reason"),
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarterline.operators.joins import sized
 from quarterline.operators.quality import numeric_columns
+from quarterline.operators import folds
 from quarterline.operators.ranks import group_quantiles
 from quarterline.operators.reshape import lengthen
 
@@ -72,10 +73,9 @@ def fit_scaler(train: DataFrame, columns: list[str], accuracy: int | None = None
 
     Runs a job; the result has one row per feature and can be kept as a table.
     """
-    medians = {
-        m["feature"]: m["median"]
-        for m in group_quantiles(lengthen(train, [], columns), ["feature"], "value", {"median": 0.5}, accuracy).collect()
-    }
+    if accuracy is not None or (fitted := folds.group_summaries(train, [], columns, {"median": 0.5})) is None:
+        fitted = group_quantiles(lengthen(train, [], columns), ["feature"], "value", {"median": 0.5}, accuracy)
+    medians = {m["feature"]: m["median"] for m in fitted.collect()}
     imputed = {c: F.coalesce(F.col(c).cast("double"), F.lit(medians.get(c))) for c in columns}
     row = train.agg(
         *[F.avg(v).alias(f"m_{c}") for c, v in imputed.items()], *[F.stddev_pop(v).alias(f"s_{c}") for c, v in imputed.items()]

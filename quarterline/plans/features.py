@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarterline.functions import quarters as Q
 from quarterline.functions.scalars import first_present, ratio
 from quarterline.operators import windows as WN
+from quarterline.operators import folds
 from quarterline.operators.ranks import group_quantiles, tile_cuts, tile_of
 
 # Statement columns of the feature table; each may arrive under its panel name instead.
@@ -284,8 +285,9 @@ def size_by_rank(df: DataFrame) -> DataFrame:
 
 def size_cuts(df: DataFrame, accuracy: int | None = None) -> tuple[float, float, float]:
     """Fit the quartile cut points of assets (runs a job, returns three numbers)."""
-    row = group_quantiles(df, [], "Assets", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, accuracy).first()
-    return row["q1"], row["q2"], row["q3"]
+    wanted = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
+    row = (folds.group_summaries(df, [], ["Assets"], wanted) if accuracy is None else group_quantiles(df, [], "Assets", wanted, accuracy)).first()
+    return (row["q1"], row["q2"], row["q3"]) if row else (None, None, None)
 
 
 def size_by_cuts(df: DataFrame, cuts: tuple[float, float, float]) -> DataFrame:

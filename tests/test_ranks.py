@@ -78,3 +78,35 @@ def test_quantiles_without_groups_and_with_nulls(spark):
 def test_null_groups_stay_together(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
     assert rows(R.group_quantiles(df, ["g"], "v", {"m": 0.5})) == [("a", 5.0), (None, 2.0)]
+
+
+def wide_ladder(spark, rows, parts=6):
+    return spark.createDataFrame(rows, "g string, k int, v double, n bigint, w double").repartition(parts)
+
+
+@pytest.mark.parametrize("held", [1, 40, 1 << 16])
+@pytest.mark.parametrize("kind", ["one group", "few", "all apart", "none"])
+def test_running_totals_over_many_partitions(spark, monkeypatch, held, kind):
+    rng = random.Random(held)
+    groups = {"one group": lambda i: "x", "few": lambda i: "hot" if i % 3 else f"g{i % 5}" if i % 2 else None, "all apart": str, "none": str}[kind]
+    data = [(groups(i), i % 2, float(i * 7 % 900), rng.randrange(5), rng.random()) for i in range(900 if kind != "none" else 0)]
+    monkeypatch.setattr(R, "HELD", held)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = R.with_running_totals(wide_ladder(spark, data), ["g", "k"], ["v"], ["n", "w"]).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    assert len(got) == len(data)
+    for row in got:
+        same = [r for r in data if r[:2] == (row["g"], row["k"])]
+        assert row["n_upto"] == sum(r[3] for r in same if r[2] <= row["v"]) and row["n_total"] == sum(r[3] for r in same)
+        assert row["w_upto"] == pytest.approx(sum(r[4] for r in same if r[2] <= row["v"])) and row["w_total"] == pytest.approx(sum(r[4] for r in same))
+
+
+def test_running_totals_need_one_exchange(spark, skewed):
+    counted = R.sized(spread(spark, skewed, 3).groupBy("g", "v").agg(F.count(F.lit(1)).alias("n")))
+    plan = R.scanned(counted, ["g"], ["v"], ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == plan.count("Exchange rangepartitioning") == 1 and "Window" not in plan
+    # What follows the scan joins the stored rows with a few rows per partition, without another exchange of them.
+    whole = R.with_running_totals(counted, ["g"], ["v"], ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in whole and "rangepartitioning" not in whole

@@ -133,7 +133,7 @@ def test_fairness_alerts_and_threshold_floor(spark):
     suggested = {r["slice"]: r for r in SL.threshold_suggestions(fair).collect()}
     gap = fair.where("slice = 'financial' AND metric = 'recall_at_5pct'").first()["gap"]
     assert suggested["financial"]["suggested_threshold"] == pytest.approx(max(0.1, round(0.5 - 0.05 * max(1, int(gap / 0.05)), 3)))
-    assert "exceeds 10% threshold" in suggested["financial"]["reason"]
+    assert "(limit 0.1)" in suggested["financial"]["reason"]
     floor = SL.threshold_suggestions(fair, base=0.15).where("slice = 'financial'").first()
     assert floor["suggested_threshold"] == 0.1
 
@@ -151,3 +151,31 @@ def test_chi_square_p_values_of_the_printed_tables(spark):
     df = spark.createDataFrame(cases, "chi2 double, dof int, p double")
     for row in df.withColumn("got", SL.chi_square_p_value(F.col("chi2"), F.col("dof"))).collect():
         assert abs(row["got"] - row["p"]) < 1e-5
+
+
+@pytest.mark.parametrize(("statistic", "dof"), [(0.3, 1), (3.84, 1), (18.0, 1), (68.6, 1), (91.8, 1), (0.7, 2), (25.0, 2), (1.0, 3), (12.0, 3), (1381.0, 3), (5000.0, 4), (90.0, 100), (101.0, 100), (160.0, 100), (700.0, 501)])
+def test_chi_square_tail_by_closed_forms(spark, statistic, dof):
+    """Finite sums and the complementary error function, in logarithms."""
+    x = statistic / 2
+    if dof % 2 == 0:
+        terms = [k * math.log(x) - math.lgamma(k + 1) for k in range(dof // 2)]
+    else:
+        # exp(x) erfc(sqrt(x)) by its continued fraction, which needs no small numbers.
+        z, f = math.sqrt(x), 0.0
+        for k in range(4000, 0, -1):
+            f = k / 2 / (z + f)
+        scaled = 1 / (math.sqrt(math.pi) * (z + f)) if x > 1 else math.exp(x) * math.erfc(z)
+        terms = [math.log(scaled)] + [(k - 0.5) * math.log(x) - math.lgamma(k + 0.5) for k in range(1, (dof - 1) // 2 + 1)]
+    top = max(terms)
+    want = -x + top + math.log(sum(math.exp(t - top) for t in terms))
+    got = spark.range(1).select(SL.chi_square_log_p(F.lit(statistic), F.lit(dof))).first()[0]
+    assert got == pytest.approx(want, rel=1e-10, abs=1e-10)
+
+
+def test_chi_square_tail_falls_and_never_rises(spark):
+    grid = spark.range(1, 4000).select((F.col("id") / 2.0).alias("x"), F.explode(F.array(F.lit(1), F.lit(2), F.lit(7), F.lit(30))).alias("dof"))
+    tails = {}
+    for x, dof, p in grid.select("x", "dof", SL.chi_square_log_p(F.col("x"), F.col("dof"))).orderBy("dof", "x").collect():
+        assert p <= tails.get(dof, 0.0)
+        tails[dof] = p
+    assert all(p < -900 for p in tails.values())
