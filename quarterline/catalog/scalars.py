@@ -255,12 +255,12 @@ def signal_text(spark, folder):
 
 @query(
     "p26_display_name",
-    ctes("companies", "scores")
+    ctes("companies", "looked_up")
     + """SELECT o_orderkey, CASE WHEN name IS NULL THEN 'CIK ' || s.firm_id WHEN ticker = '' THEN name ELSE name || ' (' || ticker || ')' END AS shown
- FROM scores s LEFT JOIN companies c ON s.firm_id = c.firm_id""",
+ FROM looked_up s LEFT JOIN companies c ON s.firm_id = c.firm_id""",
 )
 def shown_name(spark, folder):
-    joined = X.scores(spark, folder).join(X.companies(spark, folder), "firm_id", "left")
+    joined = X.looked_up(spark, folder).join(X.companies(spark, folder), "firm_id", "left")
     return joined.select("o_orderkey", S.display_name(F.col("firm_id"), F.col("name"), F.col("ticker")).alias("shown"))
 
 

@@ -118,6 +118,15 @@ def facts_macro(spark, folder):
     return joined.select("firm_id", "quarter_key", "tag", "value", "FedFundsRate", "CPI")
 
 
+_FILING_COLUMNS = "firm_id, quarter_key, filed_date, end_date, \"Assets\", \"Liabilities\", \"StockholdersEquity\", \"NetIncomeLoss\", \"FedFundsRate\", \"CPI\""
+
+
+@query("j1_filing_grain", ctes("clean_filings") + f"SELECT {_FILING_COLUMNS} FROM clean_filings")
+def filing_grain(spark, folder):
+    """The cleaned table with a row for each filing of a quarter, each with the macro values of its quarter or the nearest filing's."""
+    return X.filings(spark, folder).selectExpr(*_FILING_COLUMNS.replace('"', "`").split(", "))
+
+
 @query(
     "j2_quarter_join",
     ctes("macro")
@@ -161,22 +170,22 @@ def latest_previous(spark, folder):
 
 @query(
     "j5_dictionary_lookup",
-    ctes("scores", "companies")
-    + "SELECT o_orderkey, coalesce(name, '—') AS company, coalesce(ticker, '—') AS ticker FROM scores LEFT JOIN companies USING (firm_id)",
+    ctes("looked_up", "companies")
+    + "SELECT o_orderkey, coalesce(name, '—') AS company, coalesce(ticker, '—') AS ticker FROM looked_up LEFT JOIN companies USING (firm_id)",
 )
 def dictionary(spark, folder):
-    joined = X.scores(spark, folder).join(X.companies(spark, folder), "firm_id", "left")
+    joined = X.looked_up(spark, folder).join(X.companies(spark, folder), "firm_id", "left")
     return joined.select("o_orderkey", F.coalesce("name", F.lit("—")).alias("company"), F.coalesce("ticker", F.lit("—")).alias("ticker"))
 
 
 @query(
     "j6_semi_anti",
-    ctes("scores", "companies")
-    + """SELECT o_orderkey, 'known' AS kind FROM scores WHERE firm_id IN (SELECT firm_id FROM companies)
- UNION ALL SELECT o_orderkey, 'unknown' FROM scores WHERE firm_id NOT IN (SELECT firm_id FROM companies)""",
+    ctes("looked_up", "companies")
+    + """SELECT o_orderkey, 'known' AS kind FROM looked_up WHERE firm_id IN (SELECT firm_id FROM companies)
+ UNION ALL SELECT o_orderkey, 'unknown' FROM looked_up WHERE firm_id NOT IN (SELECT firm_id FROM companies)""",
 )
 def semi_anti(spark, folder):
-    rows, known = X.scores(spark, folder), X.companies(spark, folder)
+    rows, known = X.looked_up(spark, folder), X.companies(spark, folder)
     inside = J.in_set(rows, known, ["firm_id"]).select("o_orderkey", F.lit("known").alias("kind"))
     return inside.unionByName(J.not_in_set(rows, known, ["firm_id"]).select("o_orderkey", F.lit("unknown").alias("kind")))
 

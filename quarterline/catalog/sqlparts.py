@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from quarterline.fixtures import FACT_TAGS, SERIES_OF, SIGNED_TAGS, SPENDING_TAGS, TAG_OF
 from quarterline.plans.features import GROWTH, ROLLED
+from quarterline.plans.panel import MEASURES, PANEL_NAMES
 
 
 def r(expression: str, places: int = 4) -> str:
@@ -78,25 +79,20 @@ _FILLS = ", ".join(
     for m in _MACROS
 )
 _OTHERS = [t for t in FACT_TAGS if t not in ("Assets", "Liabilities", "StockholdersEquity")]
-_CLEAN = f"""
+_CLEAN_OF = f"""
 SELECT firm_id, fiscal_year, fiscal_period, quarter_key, {QUARTER_END} AS end_date, filed_date,
   coalesce("Assets", "Liabilities" + "StockholdersEquity", 0.0) AS "Assets",
   coalesce("Liabilities", "Assets" - "StockholdersEquity", 0.0) AS "Liabilities",
   coalesce("StockholdersEquity", "Assets" - "Liabilities", 0.0) AS "StockholdersEquity",
   {", ".join(f'coalesce("{t}", 0.0) AS "{t}"' for t in _OTHERS)}, {_FILLS}
-FROM (SELECT *, CAST(fiscal_year AS VARCHAR) || '_' || fiscal_period AS quarter_key FROM wide)
+FROM (SELECT *, CAST(fiscal_year AS VARCHAR) || '_' || fiscal_period AS quarter_key FROM WIDE_TABLE)
 LEFT JOIN macro_wide USING (quarter_key)
 """
-_NAMES = {
-    "Assets": "total_assets",
-    "Liabilities": "total_liabilities",
-    "StockholdersEquity": "total_equity",
-    "NetIncomeLoss": "net_income",
-    "NetCashProvidedByUsedInOperatingActivities": "operating_cash_flow",
-    "InterestExpense": "interest_expense",
-    "OperatingIncomeLoss": "operating_income",
-    "RetainedEarningsAccumulatedDeficit": "retained_earnings",
-}
+_CLEAN = _CLEAN_OF.replace("WIDE_TABLE", "wide")
+# A row per filing: the filing date is part of the key.
+_WIDE_FILINGS = f"SELECT firm_id, fiscal_year, fiscal_period, filed_date, {_PIVOT} FROM latest GROUP BY ALL"
+_CLEAN_FILINGS = _CLEAN_OF.replace("WIDE_TABLE", "wide_filings")
+_NAMES = {k: v for k, v in PANEL_NAMES.items() if v in MEASURES}
 _BY_DATE = "PARTITION BY firm_id ORDER BY date"
 _LAGS = ", ".join(
     f"lag({m}, {k}) OVER ({_BY_DATE}) AS {m}_lag{k}" for m in _NAMES.values() for k in (1, 4)
@@ -201,7 +197,7 @@ FROM features, (SELECT quantile_cont("Assets", 0.25) AS q1, quantile_cont("Asset
 _SCORES = f"""
 SELECT o_orderkey, lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS firm_id, CAST(year(o_orderdate) AS INTEGER) AS fiscal_year,
   {quarter_of('o_orderdate')} AS fiscal_period, o_orderdate AS scored_date, c_mktsegment AS segment, c_nationkey AS nation,
-  o_orderpriority AS priority, least(floor(o_totalprice / 50.0) / 10000.0, 1.0) AS score,
+  o_orderpriority AS priority, least(o_totalprice / 500000.0, 1.0) AS score,
   CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label
 FROM orders JOIN customer ON o_custkey = c_custkey
 """
@@ -211,7 +207,10 @@ WHERE rn = 1
 """
 _COMPANIES = """
 SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS firm_id, CASE WHEN n_nationkey <> 3 THEN n_name ELSE '' END AS ticker, c_name AS name
-FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal >= 0
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+"""
+_LOOKED_UP = """
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN '9' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') ELSE firm_id END AS firm_id, score FROM scores
 """
 _SPARSE = f"""
 SELECT lpad(CAST(o_custkey AS VARCHAR), 10, '0') AS firm_id, {quarter_end_of('o_orderdate')} AS date,
@@ -233,6 +232,8 @@ _VIEWS: dict[str, tuple[list[str], str]] = {
     "macro_wide": (["macro"], _MACRO_WIDE),
     "wide": (["latest"], _WIDE),
     "clean": (["wide", "macro_wide"], _CLEAN),
+    "wide_filings": (["latest"], _WIDE_FILINGS),
+    "clean_filings": (["wide_filings", "macro_wide"], _CLEAN_FILINGS),
     "panel": (["clean"], _PANEL),
     "signals": (["panel"], _SIGNALS),
     "labeled": (["signals"], _LABELED),
@@ -245,6 +246,7 @@ _VIEWS: dict[str, tuple[list[str], str]] = {
     "cut_features": (["features"], _CUT),
     "scores": ([], _SCORES),
     "qscores": (["scores"], _QSCORES),
+    "looked_up": (["scores"], _LOOKED_UP),
     "companies": ([], _COMPANIES),
     "sparse": ([], _SPARSE),
     "attr": (["panel"], _ATTR),

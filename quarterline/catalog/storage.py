@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarterline import fixtures as X
 from quarterline.catalog.registry import query
 from quarterline.catalog.sqlparts import ctes, r
 from quarterline.catalog.nested import documents
+from quarterline.catalog.slicing import ks_sql, with_p
 from quarterline.operators import quality as QU
 from quarterline.operators import slices as SL
 from quarterline.operators.nested import flatten_facts
-from quarterline.session import fresh_folder, materialise
+from quarterline.session import fresh_folder, materialise, rename, subfolders
 from quarterline.sources import reports as RP
 from quarterline.sources import tables as T
 from quarterline.streaming import drift as SD
@@ -86,10 +88,60 @@ def replace_table(spark, folder):
     return T.read_table(spark, path)
 
 
-@query("a6_table_scan", "SELECT * FROM nation")
+@query(
+    "a4_keyed_files",
+    ctes("macro") + "SELECT series_id, date, value, o_orderkey FROM macro",
+)
+def keyed_files(spark, folder):
+    """A file per series, called after it; a file with another name is passed over."""
+    home = fresh_folder(spark, "series")
+    rows = X.macro(spark, folder)
+    T.replace_partitions(rows, home, ["series_id"])
+    for name in subfolders(spark, home):
+        rename(spark, f"{home}/{name}", f"{home}/{name}.parquet")
+    T.replace_table(rows.drop("series_id"), f"{home}/series.parquet")
+    return T.read_keyed_files(spark, home, "series_id").select("series_id", "date", "value", "o_orderkey")
+
+
+def _stored_orders(spark, folder):
+    home = fresh_folder(spark, "orders")
+    orders = X.table(spark, folder, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    return T.store_bucketed(orders, "orders_" + home.rsplit("-", 1)[1], home, ["o_custkey"], ["o_orderdate", "o_orderkey"], buckets=16)
+
+
+@query("a6_table_scan", "SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice FROM orders")
 def table_scan(spark, folder):
-    X.table(spark, folder, "nation").createOrReplaceTempView("nation_table")
-    return spark.table("nation_table")
+    """A stored catalog table, read by its name."""
+    return _stored_orders(spark, folder)
+
+
+@query(
+    "a6_bucketed_window",
+    "SELECT o_orderkey, o_custkey, lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS previous FROM orders",
+)
+def bucketed_window(spark, folder):
+    """A window per customer over the bucketed table, which needs no exchange."""
+    previous = F.lag("o_totalprice").over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey"))
+    return _stored_orders(spark, folder).select("o_orderkey", "o_custkey", previous.alias("previous"))
+
+
+_ONE_FIRM = "0000000001"
+
+
+@query("a12_firm_scan", ctes("latest") + f"SELECT fiscal_year, fiscal_period, tag, value FROM latest WHERE firm_id = '{_ONE_FIRM}'")
+def firm_scan(spark, folder):
+    """One firm's facts from a table sorted by firm."""
+    path = fresh_folder(spark, "by-firm")
+    T.replace_table(X.latest_facts(spark, folder).repartitionByRange("firm_id").sortWithinPartitions("firm_id"), path)
+    return T.read_firm(spark, path, _ONE_FIRM, ["fiscal_year", "fiscal_period", "tag", "value"])
+
+
+@query("a3_hash_buckets", ctes("latest") + "SELECT firm_id, fiscal_year, fiscal_period, tag, value FROM latest")
+def hash_buckets(spark, folder):
+    """Facts in a folder per hash bucket of the firm, as many for any number of firms."""
+    path = fresh_folder(spark, "buckets")
+    T.write_hash_buckets(X.latest_facts(spark, folder).select("firm_id", "fiscal_year", "fiscal_period", "tag", "value"), path, "firm_id", 64)
+    return T.read_hash_buckets(spark, path, "firm_id string, fiscal_year int, fiscal_period string, tag string, value double", "firm_id", 64)
 
 
 @query("a15_read_or_empty", "SELECT c_custkey, c_name, c_acctbal FROM customer")
@@ -110,10 +162,10 @@ def companies(spark, folder):
 
 @query("a8_documents", ctes("facts") + "SELECT firm_id, count(*) AS facts FROM facts WHERE NOT (fiscal_period <> 'Q4' AND l_linenumber = 7) GROUP BY firm_id")
 def raw_documents(spark, folder):
-    """Raw documents land as text per firm and are flattened from there."""
+    """Raw documents land in hash buckets of their firm, with its id in the file, and are flattened from there."""
     path = fresh_folder(spark, "documents")
-    T.write_documents(documents(spark, folder), path, ["firm_id"])
-    landed = spark.read.schema("doc string, firm_id string").text(path)
+    T.write_hash_buckets(documents(spark, folder), path, "firm_id", 64, kind="json")
+    landed = T.read_hash_buckets(spark, path, "firm_id string, doc string", "firm_id", 64, kind="json")
     return flatten_facts(landed).groupBy("firm_id").agg(F.count(F.lit(1)).alias("facts"))
 
 
@@ -141,31 +193,53 @@ def report(spark, folder):
     return RP.read_report(spark, path, "model_version string, row_count bigint, prediction_horizon int")
 
 
-_MANIFEST = {
-    "schema_version": "1.0",
-    "model_name": "",
-    "model_version": "2",
-    "mlflow_run_id": "run-1",
-    "trained_at": "2001-12-31T00:00:00",
-    "scored_at": "soon",
-    "roc_auc": 0.9,
-    "prediction_horizon": 0,
-    "features_used": ["roa", "roe"],
-    "gcs_scores_path": "gs://bucket/scores.csv",
-    "inference_duration_seconds": 1.5,
-}
+# What a run of each segment would have told, with faults that depend on its numbers.
+_RUN_FACTS = "SELECT segment, count(*) AS n, sum(label) AS hits, max(o_orderkey) AS last FROM scores GROUP BY segment"
+
+
+def _manifests(spark, folder):
+    """A manifest per segment made from its scores."""
+    told = X.scores(spark, folder).groupBy("segment").agg(F.count("*").alias("row_count"), F.sum("label").alias("hits"), F.max("o_orderkey").alias("last"))
+    n, hits, last = F.col("row_count"), F.col("hits"), F.col("last")
+    return told.select(
+        "segment",
+        "row_count",
+        F.concat(F.lit("1"), F.when(n % 2 == 0, ".").otherwise("-"), F.lit("0")).alias("schema_version"),
+        F.when(hits % 2 == 0, F.col("segment")).otherwise("").alias("model_name"),
+        F.concat(F.when(last % 2 == 0, "v").otherwise("m"), last.cast("string")).alias("model_version"),
+        F.when(last % 3 != 0, F.concat(F.lit("run-"), last.cast("string"))).alias("mlflow_run_id"),
+        F.lit("2001-12-31T00:00:00").alias("trained_at"),
+        F.when(n % 3 == 0, "soon").otherwise("2002-01-01T00:00:00").alias("scored_at"),
+        (hits * 2.0 / n).alias("roc_auc"),
+        (hits % 3).cast("int").alias("prediction_horizon"),
+        F.when(n % 5 != 0, F.array(F.lit("roa"), F.lit("roe"))).otherwise(F.array().cast("array<string>")).alias("features_used"),
+        F.concat(F.lit("gs://scores/"), F.lower("segment"), F.when(hits % 5 == 0, ".csv").otherwise(".parquet")).alias("gcs_scores_path"),
+        ((last % 7) - 1.0).alias("inference_duration_seconds"),
+    )
 
 
 @query(
     "q10_manifest_rules",
-    "SELECT unnest(['model_name is not empty', 'model_version looks like v1', 'scored_at is a time', 'prediction_horizon at least 1', 'scores path is a gs parquet path']) AS rule, n AS rows FROM (SELECT least(count(*), 1) AS n FROM orders)",
+    ctes("scores")
+    + f"""SELECT rule, rows FROM (SELECT count(*) FILTER (n % 2 <> 0) AS "schema_version is N.N", count(*) FILTER (hits % 2 <> 0) AS "model_name is not empty",
+ count(*) FILTER (last % 2 <> 0) AS "model_version looks like v1", count(*) FILTER (last % 3 = 0) AS "mlflow_run_id is not empty", count(*) FILTER (n % 3 = 0) AS "scored_at is a time",
+ count(*) FILTER (hits * 2 > n) AS "roc_auc in [0, 1]", count(*) FILTER (hits % 3 = 0) AS "prediction_horizon at least 1", count(*) FILTER (n % 5 = 0) AS "features_used is not empty",
+ count(*) FILTER (hits % 5 = 0) AS "scores path is a gs parquet path", count(*) FILTER (last % 7 = 0) AS "duration is not negative" FROM ({_RUN_FACTS}))
+ UNPIVOT (rows FOR rule IN (COLUMNS(*))) WHERE rows > 0""",
 )
 def manifest_rules(spark, folder):
-    """Broken rules of a manifest whose row count comes from the score table."""
-    return QU.findings(RP.manifest(X.scores(spark, folder), **_MANIFEST), QU.manifest_rules())
+    """Broken rules of the manifests of all segments, made from their scores."""
+    return QU.findings(_manifests(spark, folder), QU.manifest_rules())
 
 
-@query("s15_retrain_flag", "SELECT 'dataset_drift' AS reason, 'l_quantity' AS drifted_features, true AS consumed WHERE (SELECT count(*) FROM lineitem) > 0")
+_HALVES = "(SELECT 'l_quantity' AS feature, l_quantity AS value, l_quantity < 25 AS first FROM lineitem UNION ALL SELECT 'l_tax', l_tax, l_quantity < 25 FROM lineitem)"
+
+
+@query(
+    "s15_retrain_flag",
+    f"""SELECT 'dataset_drift' AS reason, names AS drifted_features, true AS consumed FROM (SELECT count(*) FILTER (p_value <= 0.05) AS drifted, count(*) AS n,
+ string_agg(feature, ',' ORDER BY feature) FILTER (p_value <= 0.05) AS names FROM ({with_p(ks_sql(_HALVES))})) WHERE drifted / n >= 0.5""",
+)
 def retrain_flag(spark, folder):
     """A drifted quantity raises the flag; reading it consumes it."""
     path = fresh_folder(spark, "flag")
@@ -174,7 +248,8 @@ def retrain_flag(spark, folder):
     decision = SL.drift_decision(SL.dataset_drift(line.where(small), line.where(~small), ["l_quantity", "l_tax"]))
     RP.raise_flag(decision, path)
     first, second = RP.take_flag(spark, path), RP.take_flag(spark, path)
-    return spark.createDataFrame([(first["reason"], first["drifted_features"], second is None)], "reason string, drifted_features string, consumed boolean")
+    rows = [(first["reason"], first["drifted_features"], second is None)] if first else []
+    return spark.createDataFrame(rows, "reason string, drifted_features string, consumed boolean")
 
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -194,26 +269,36 @@ def land_latest(spark, folder):
     unique = ST.without_repeats(events(spark, folder), "ts", "31 days", ["event_id"])
     keys = ["user_id", "event_type"]
     ST.land_latest(unique, f"{home}/table", f"{home}/state", keys, "ts", ["event_id"])
-    return ST.landed(spark, f"{home}/table", keys, "ts", ["event_id"]).select(*keys, "event_id", "value")
+    return ST.landed(spark, f"{home}/table", unique.schema).select(*keys, "event_id", "value")
+
+
+_TWO_FETCHES = (
+    "two AS (SELECT firm_id, fiscal_year, fiscal_period, tag, CASE WHEN newest <= 8 THEN value * 2 ELSE value END AS value FROM ("
+    "SELECT *, dense_rank() OVER (PARTITION BY firm_id ORDER BY fiscal_year DESC, fiscal_period DESC) AS newest FROM latest WHERE fiscal_year < 2000)"
+    " UNION ALL SELECT firm_id, fiscal_year, fiscal_period, tag, value * 2 FROM latest WHERE fiscal_year >= 2000),"
+    " ranked AS (SELECT *, dense_rank() OVER (PARTITION BY firm_id ORDER BY fiscal_year DESC, fiscal_period DESC) AS newest FROM two)"
+)
 
 
 @query(
     "x2_refresh_stream",
-    ctes("latest") + "SELECT firm_id, fiscal_year, fiscal_period, tag, CASE WHEN newest <= 8 THEN value * 2 ELSE value END AS value FROM ("
-    "SELECT *, dense_rank() OVER (PARTITION BY firm_id ORDER BY fiscal_year DESC, fiscal_period DESC) AS newest FROM latest WHERE fiscal_year < 2000)"
-    " UNION ALL SELECT firm_id, fiscal_year, fiscal_period, tag, value * 2 FROM latest WHERE fiscal_year >= 2000",
+    ctes("latest", extra=_TWO_FETCHES)
+    + """SELECT firm_id, fiscal_year, fiscal_period, tag, value FROM ranked
+ WHERE newest > 8 OR firm_id NOT IN (SELECT firm_id FROM latest WHERE fiscal_year < 2001)
+ UNION ALL SELECT firm_id, fiscal_year, fiscal_period, tag, value * 3 FROM latest l WHERE fiscal_year < 2001 AND NOT EXISTS (
+  SELECT 1 FROM ranked k WHERE newest > 8 AND k.firm_id = l.firm_id AND k.fiscal_year = l.fiscal_year AND k.fiscal_period = l.fiscal_period)""",
 )
 def refresh_stream(spark, folder):
-    """Facts up to 1999 land first; then a full fetch with doubled values arrives."""
+    """Facts up to 1999 land first, then a full fetch with doubled values, then a short one, up to 2000, with tripled values."""
     home = fresh_folder(spark, "refresh")
     rows = materialise(X.latest_facts(spark, folder).select("firm_id", "fiscal_year", "fiscal_period", "tag", "value"))
     schema = rows.schema
     keys = ["firm_id", "fiscal_year", "fiscal_period", "tag"]
-    for part in (rows.where("fiscal_year < 2000"), rows.withColumn("value", F.col("value") * 2)):
+    for part in (rows.where("fiscal_year < 2000"), rows.withColumn("value", F.col("value") * 2), rows.where("fiscal_year < 2001").withColumn("value", F.col("value") * 3)):
         part.write.mode("append").parquet(f"{home}/inbox")
         stream = spark.readStream.schema(schema).parquet(f"{home}/inbox")
-        ST.refresh_stream(stream, f"{home}/table", f"{home}/state", ["firm_id"], ["fiscal_year", "fiscal_period"])
-    return ST.refreshed(spark, f"{home}/table", ["firm_id"], ["fiscal_year", "fiscal_period"], keys, ["value"])
+        ST.refresh_stream(stream, f"{home}/table", f"{home}/state", ["firm_id"], ["fiscal_year", "fiscal_period"], keys, ["value"], buckets=8)
+    return ST.refreshed(spark, f"{home}/table", schema)
 
 
 @query(

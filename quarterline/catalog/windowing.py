@@ -233,6 +233,33 @@ def build_panel(spark, folder):
     return X.firm_panel(spark, folder).select("firm_id", "date", *panel.MEASURES, "days_since_previous", "CPI")
 
 
+@query(
+    "h1_filing_panel",
+    ctes("clean_filings")
+    + """SELECT firm_id, date, filed_date, total_assets, net_income, lag(total_assets) OVER (PARTITION BY firm_id ORDER BY date) AS total_assets_lag1 FROM (
+ SELECT firm_id, end_date AS date, filed_date, "Assets" AS total_assets, "NetIncomeLoss" AS net_income, row_number() OVER (PARTITION BY firm_id, end_date ORDER BY filed_date DESC) AS rn
+ FROM clean_filings WHERE end_date BETWEEN DATE '1993-01-01' AND DATE '2030-12-31') WHERE rn = 1""",
+)
+def filing_panel(spark, folder):
+    """The panel of the table with a row per filing: the last filing of each quarter stays."""
+    return panel.build_panel(X.filings(spark, folder)).select("firm_id", "date", "filed_date", "total_assets", "net_income", "total_assets_lag1")
+
+
+@query(
+    "h0_typed_facts",
+    ctes("facts")
+    + f"""SELECT firm_id, fiscal_year, fiscal_period, quarter_key, tag, value, filed_date, l_orderkey FROM (
+ SELECT *, CAST(fiscal_year AS VARCHAR) || '_' || fiscal_period AS quarter_key, row_number() OVER (PARTITION BY firm_id, fiscal_year, fiscal_period, tag
+  ORDER BY filed_date DESC NULLS LAST, l_orderkey DESC, l_linenumber DESC, l_partkey DESC, value DESC) AS rn FROM (
+  SELECT * REPLACE (CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE date_trunc('day', filed_date)::TIMESTAMP END AS filed_date) FROM facts
+  WHERE l_orderkey % 53 <> 0 AND l_orderkey % 59 <> 0 AND l_orderkey % 61 <> 0)) WHERE rn = 1""",
+)
+def typed_facts(spark, folder):
+    """Raw text facts typed, filtered and cut to the latest filing of each."""
+    typed = cleaning.typed_facts(X.raw_facts(spark, folder), X.FACT_TIES, "cik").withColumnRenamed("cik", "firm_id")
+    return typed.select(*cleaning.QUARTER_KEY, "quarter_key", "tag", "value", "filed_date", "l_orderkey")
+
+
 def _features(names):
     return f"SELECT firm_id, fiscal_year, fiscal_period, {', '.join(r(n) + ' AS ' + n for n in names)} FROM features"
 

@@ -104,6 +104,11 @@ def cleaned(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.clean(latest_facts(spark, folder), macro(spark, folder), FACT_TAGS)
 
 
+def filings(spark: SparkSession, folder: str) -> DataFrame:
+    """The cleaned table with a row per filing."""
+    return cleaning.clean(latest_facts(spark, folder), macro(spark, folder), FACT_TAGS, grain="filing")
+
+
 def firm_panel(spark: SparkSession, folder: str) -> DataFrame:
     return panel.build_panel(cleaned(spark, folder))
 
@@ -130,14 +135,14 @@ def scores(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_mktsegment").alias("segment"),
         F.col("c_nationkey").alias("nation"),
         F.col("o_orderpriority").alias("priority"),
-        F.least(F.floor(F.col("o_totalprice") / 50.0) / 10000.0, F.lit(1.0)).alias("score"),
+        F.least(F.col("o_totalprice") / 500000.0, F.lit(1.0)).alias("score"),
         (F.col("o_orderstatus") == "F").cast("int").alias("label"),
     )
 
 
 def companies(spark: SparkSession, folder: str) -> DataFrame:
-    """Names only for customers in credit, so lookups have misses."""
-    customers = table(spark, folder, "customer").where(F.col("c_acctbal") >= 0)
+    """The dictionary of all customers; other firms, such as suppliers, are not in it."""
+    customers = table(spark, folder, "customer")
     nations = table(spark, folder, "nation")
     return customers.join(nations, customers["c_nationkey"] == nations["n_nationkey"]).select(
         zero_pad(F.col("c_custkey")).alias("firm_id"),
@@ -146,6 +151,30 @@ def companies(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def looked_up(spark: SparkSession, folder: str) -> DataFrame:
+    """Firm ids that lookups are asked for: those of the scores, and for every seventh order one with the order's own number, which no
+    customer has."""
+    own = F.concat(F.lit("9"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0"))
+    return scores(spark, folder).select("o_orderkey", F.when(F.col("o_orderkey") % 7 == 0, own).otherwise(F.col("firm_id")).alias("firm_id"), "score")
+
+
+def raw_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """The facts as text, as they come: unpadded ids, names in other cases, years as decimals, codes in small letters, dates that are none."""
+    f = facts(spark, folder)
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    year = F.col("fiscal_year").cast("string")
+    return f.select(
+        F.col("firm_id").cast("bigint").cast("string").alias(" CIK"),
+        F.when(order % 53 == 0, "none").when(order % 59 == 0, "1889").when(line == 2, F.concat(year, F.lit(".0"))).otherwise(year).alias("Fiscal_Year"),
+        F.when(order % 61 == 0, "h1").when(line == 1, F.concat(F.lit(" "), F.lower("fiscal_period"))).otherwise(F.col("fiscal_period")).alias("fiscal_period"),
+        F.col("tag").alias("TAG"),
+        F.col("value").alias("value"),
+        F.when(order % 11 == 0, "soon").otherwise(F.date_format("filed_date", "yyyy-MM-dd")).alias("filed_date"),
+        F.lit(None).cast("string").alias("quarter_end_date"),
+        order.alias("l_orderkey"), line.alias("l_linenumber"), F.col("l_partkey"),
+    )
+
+
 def sparse(spark: SparkSession, folder: str) -> DataFrame:
     """Firm-quarters with gaps: order totals per customer and quarter as exact decimals."""
     orders = table(spark, folder, "orders")

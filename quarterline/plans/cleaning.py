@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterline.functions import quarters as Q
-from quarterline.functions.scalars import normal_code, zero_pad
+from quarterline.functions.scalars import lower_names, normal_code, zero_pad
 from quarterline.operators import windows as WN
 from quarterline.operators.dedup import keep_latest
+from quarterline.operators.filters import drop_sparse_columns
 from quarterline.operators.reshape import widen
 
 # The forty statement tags of the cleaned table.
@@ -72,11 +73,19 @@ VALID_PERIODS = ["Q1", "Q2", "Q3", "Q4", "FY"]
 
 
 def typed_facts(raw: DataFrame, ties: list[str], key: str = "firm_id") -> DataFrame:
-    """Typed, filtered and deduplicated facts: one row per firm, quarter and tag, the latest filing."""
+    """Typed, filtered and deduplicated facts: one row per firm, quarter and tag, the latest filing.
+
+    Column names are stripped and lower-cased first. Years may be written as decimals; rows without a plausible year or a known period
+    leave. A `quarter_end_date` that is null in more than nine rows of ten is dropped (one aggregate job where there is such a column).
+    """
+    raw = lower_names(raw)
+    if "quarter_end_date" in raw.columns:
+        raw = drop_sparse_columns(raw, ["quarter_end_date"])
+    year = F.col("fiscal_year").try_cast("double")
     facts = raw.withColumns(
         {
             key: zero_pad(F.col(key)),
-            "fiscal_year": F.col("fiscal_year").try_cast("int"),
+            "fiscal_year": F.when(year.between(Q.FIRST_YEAR, Q.LAST_YEAR + 1), F.floor(year).cast("int")),
             "fiscal_period": normal_code(F.col("fiscal_period")),
         }
     )
@@ -126,23 +135,32 @@ def zero_fill(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.fillna(0.0, subset=present)
 
 
-def clean(facts: DataFrame, series: DataFrame, tags: list[str] = STATEMENT_TAGS) -> DataFrame:
+def clean(facts: DataFrame, series: DataFrame, tags: list[str] = STATEMENT_TAGS, grain: str = "quarter") -> DataFrame:
     """The cleaned table: pivot, macro join, identity repair, zero fill, macro fill inside each firm.
 
-    One row per firm, year and period, yearly periods included. The date is the facts' own `end_date` where they have one, so fiscal
+    grain "quarter": one row per firm, year and period, yearly periods included, filings merged. grain "filing": each filing of a period,
+    and each end date that it tells, keeps a row of its own; `panel.build_panel` takes one per firm and date. The date is the facts' own `end_date` where they have one, so fiscal
     years that don't follow the calendar keep theirs, and else the end of the quarter, for a yearly period the end of the year.
     """
-    dated = [F.max(F.col("end_date").cast("date")).alias("_end")] if "end_date" in facts.columns else []
-    wide = facts.groupBy(*QUARTER_KEY).agg(
-        F.max("filed_date").alias("filed_date"),
-        *dated,
+    if grain not in ("quarter", "filing"):
+        raise ValueError(f"no grain {grain}")
+    has_end = "end_date" in facts.columns
+    if grain == "filing":
+        keys = [*QUARTER_KEY, "filed_date", *(["_end"] if has_end else [])]
+        facts = facts.withColumn("_end", F.col("end_date").cast("date")) if has_end else facts
+        merged = []
+    else:
+        keys = QUARTER_KEY
+        merged = [F.max("filed_date").alias("filed_date"), *([F.max(F.col("end_date").cast("date")).alias("_end")] if has_end else [])]
+    wide = facts.groupBy(*keys).agg(
+        *merged,
         *[F.max(F.when(F.col("tag") == t, F.col("value"))).alias(t) for t in tags],
     )
     year, period = F.col("fiscal_year"), F.col("fiscal_period")
     ends = [Q.quarter_end(year, period), F.when(period == "FY", F.make_date(year, F.lit(12), F.lit(31)))]
     wide = wide.withColumns(
-        {"quarter_key": Q.quarter_key(year, period), "end_date": F.coalesce(*([F.col("_end")] if dated else []), *ends)}
+        {"quarter_key": Q.quarter_key(year, period), "end_date": F.coalesce(*([F.col("_end")] if has_end else []), *ends)}
     ).drop("_end")
     joined = zero_fill(repair_identity(join_macro(wide, widen_macro(series))), tags)
-    by_filing = WN.ordered(["firm_id"], [F.col("filed_date").asc_nulls_first(), "fiscal_year", "fiscal_period"])
+    by_filing = WN.ordered(["firm_id"], [F.col("filed_date").asc_nulls_first(), "fiscal_year", "fiscal_period", "end_date"])
     return WN.fill_both_ways(joined, MACRO_COLUMNS, by_filing)

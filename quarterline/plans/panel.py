@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarterline.functions import quarters as Q
 from quarterline.functions.scalars import ratio
 from quarterline.operators import windows as WN
 from quarterline.operators.dedup import top_rows
@@ -52,13 +53,26 @@ def firm_dates():
     return WN.ordered(["firm_id"], ["date"])
 
 
+def row_order(df: DataFrame, ties: tuple[str, ...] = ("filed_date",)) -> list[Column]:
+    """Which row of a firm and date stays: the last filed, a quarter before the year that ends with it, then the largest values.
+
+    The order is total up to equal measures, so the panel doesn't depend on how rows came in.
+    """
+    order = [F.col(t).desc_nulls_last() for t in ties if t in df.columns]
+    if "fiscal_period" in df.columns:
+        order += [Q.period_number(F.col("fiscal_period")).desc_nulls_last(), F.col("fiscal_period").asc_nulls_last()]
+    if "fiscal_year" in df.columns:
+        order.append(F.col("fiscal_year").desc_nulls_last())
+    measures = [n for n, t in df.dtypes if t == "double" and n not in MEASURES]
+    return [*order, *[F.col(m).desc_nulls_last() for m in [*MEASURES, *measures]]]
+
+
 def build_panel(cleaned: DataFrame, ties: tuple[str, ...] = ("filed_date",)) -> DataFrame:
-    """Standard names, plausible dates, one row per firm and date, gap in days, lags 1 and 4."""
+    """Standard names, plausible dates, one row per firm and date by `row_order`, gap in days, lags 1 and 4."""
     renamed = cleaned.withColumnsRenamed({k: v for k, v in PANEL_NAMES.items() if k in cleaned.columns})
     require_columns(renamed, ["firm_id", "date", *MEASURES])
     dated = plausible_dates(renamed.withColumn("date", F.col("date").try_cast("date")))
-    order = [F.col(t).desc_nulls_last() for t in ties if t in dated.columns] or [F.col(MEASURES[0]).desc_nulls_last()]
-    single = top_rows(dated, ["firm_id", "date"], order)
+    single = top_rows(dated, ["firm_id", "date"], row_order(dated, ties))
     spaced = single.withColumn("days_since_previous", WN.day_gap("date", firm_dates()))
     return WN.add_lags(spaced, MEASURES, firm_dates())
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -47,7 +47,8 @@ def read_keyed_folders(spark: SparkSession, path: str, key: str) -> DataFrame:
 def read_keyed_files(spark: SparkSession, path: str, key: str) -> DataFrame:
     """Files called `<key>=<id>.parquet`; other names are skipped."""
     rows = spark.read.option("recursiveFileLookup", True).parquet(path)
-    found = F.regexp_extract(F.col("_metadata.file_name"), f"^{key}=(.+)\\.parquet$", 1)
+    # A folder that a job wrote under such a name counts as the file.
+    found = F.regexp_extract(F.col("_metadata.file_path"), f"/{key}=([^/]+)\\.parquet(?:/[^/]*)?$", 1)
     others = [c for c in rows.columns if c != key]
     return rows.select(*others, found.alias(key)).where(F.col(key) != "")
 
@@ -79,7 +80,7 @@ def write_partitioned(df: DataFrame, path: str, partition: list[str], sort: list
     ranged.write.mode("overwrite").partitionBy(*partition).format(kind).save(path)
 
 
-def _spread(df: DataFrame, partition: list[str]) -> DataFrame:
+def spread_over(df: DataFrame, partition: list[str]) -> DataFrame:
     """Range on the partition columns and a row hash: few files per partition, no task with a hot one."""
     others = [c for c in df.columns if c not in partition]
     return df.repartitionByRange(*partition, F.xxhash64(*others))
@@ -92,16 +93,42 @@ def write_daily(df: DataFrame, path: str, day: str, cluster: list[str]) -> None:
 
 def replace_partitions(df: DataFrame, path: str, partition: list[str]) -> None:
     """Overwrite only the partitions that occur in `df`; a hot one is spread over several tasks."""
-    _spread(df, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
+    spread_over(df, partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition).parquet(path)
+
+
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def write_hash_buckets(df: DataFrame, path: str, key: str, buckets: int = 256, kind: str = "parquet") -> None:
+    """A folder per hash bucket of the key, which stays in the files: as many folders for millions of keys as for a thousand."""
+    marked = df.withColumn("bucket", bucket_of([key], buckets))
+    spread_over(marked, ["bucket"]).sortWithinPartitions("bucket", key).write.mode("overwrite").partitionBy("bucket").format(kind).save(path)
+
+
+def read_hash_buckets(spark: SparkSession, path: str, schema: str, key: str, buckets: int = 256, value: str | None = None, kind: str = "parquet") -> DataFrame:
+    """What `write_hash_buckets` wrote with as many buckets; with `value` the rows of that key, from its bucket's folder only."""
+    rows = spark.read.schema(f"{schema}, bucket int").format(kind).load(path)
+    if value is not None:
+        kept = F.lit(value).cast(rows.schema[key].dataType)
+        rows = rows.where((F.col("bucket") == F.pmod(F.xxhash64(kept), F.lit(buckets)).cast("int")) & (F.col(key) == kept))
+    return rows.drop("bucket")
+
+
+def store_bucketed(df: DataFrame, name: str, location: str, keys: list[str], sort: list[str], buckets: int = 64) -> DataFrame:
+    """A catalog table whose files are bucketed by the keys and sorted in each, so windows and joins on the keys need no exchange."""
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").format("parquet").option("path", location).bucketBy(buckets, *keys).sortBy(*keys, *sort).saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def write_json_lines(df: DataFrame, path: str, partition: list[str]) -> None:
-    _spread(df, partition).write.mode("overwrite").partitionBy(*partition).json(path)
+    spread_over(df, partition).write.mode("overwrite").partitionBy(*partition).json(path)
 
 
 def write_documents(df: DataFrame, path: str, partition: list[str], text: str = "doc") -> None:
     """Raw documents as text lines under partition folders."""
-    _spread(df.select(*partition, text), partition).write.mode("overwrite").partitionBy(*partition).text(path)
+    spread_over(df.select(*partition, text), partition).write.mode("overwrite").partitionBy(*partition).text(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -1,7 +1,7 @@
 """Incremental landing and refresh as Structured Streaming jobs.
 
-Every micro-batch writes into its own `batch=<id>` folder with overwrite, so a replayed batch leaves the same
-files; nothing is read and rewritten in place. The current state is a view over the batches.
+State is a keyed table in generations (`sources.generations`): a micro-batch rewrites the hash buckets of its keys into its own folder with
+overwrite, so a replayed batch leaves the same files, and its work doesn't grow with the batches before it.
 """
 
 from __future__ import annotations
@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quarterline.operators.dedup import keep_latest, last_periods
-from quarterline.sources.tables import read_or_empty
+from quarterline.operators.dedup import keep_latest
+from quarterline.operators.refresh import refresh
+from quarterline.sources import generations as GN
 
 
 def file_stream(spark: SparkSession, folder: str, pattern: str, schema: StructType | str) -> DataFrame:
@@ -26,17 +27,13 @@ def run_available(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame,
     writer.start().awaitTermination()
 
 
-def _batch_folder(path: str, batch: int) -> str:
-    return f"{path}/batch={batch}"
+def land_latest(stream: DataFrame, path: str, checkpoint: str, keys: list[str], moment: str, ties: list[str], buckets: int = 64) -> None:
+    """Keep the latest row per key over all batches. A batch reads and rewrites the buckets of its keys only."""
 
+    def merge(stored: DataFrame, rows: DataFrame) -> DataFrame:
+        return keep_latest(stored.unionByName(rows), keys, moment, ties)
 
-def land_latest(stream: DataFrame, path: str, checkpoint: str, keys: list[str], moment: str, ties: list[str]) -> None:
-    """Append each batch's latest row per key."""
-
-    def each(rows: DataFrame, batch: int) -> None:
-        keep_latest(rows, keys, moment, ties).write.mode("overwrite").parquet(_batch_folder(path, batch))
-
-    run_available(stream, checkpoint, each)
+    run_available(stream, checkpoint, lambda rows, batch: GN.rewrite(rows, batch, path, keys, merge, buckets))
 
 
 def without_repeats(stream: DataFrame, moment: str, delay: str, keys: list[str]) -> DataFrame:
@@ -44,43 +41,34 @@ def without_repeats(stream: DataFrame, moment: str, delay: str, keys: list[str])
     return stream.withWatermark(moment, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def landed(spark: SparkSession, path: str, keys: list[str], moment: str, ties: list[str]) -> DataFrame:
-    """The latest row per key over all batches."""
-    return keep_latest(spark.read.parquet(path).drop("batch"), keys, moment, ties)
-
-
-def refresh_batch(rows: DataFrame, batch: int, path: str, owner: list[str], period: list[str], n: int = 8) -> None:
-    """Take a batch in under the refresh rule: an owner's periods older than its n newest stored ones stay."""
-    spark = rows.sparkSession
-    marks = [*owner, *period]
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    schema = ", ".join(f"{c} {kinds[c]}" for c in marks) + ", held boolean, batch bigint"
-    before = read_or_empty(spark, f"{path}/marks", schema).where(F.col("batch") < batch)
-    # A period is stored while its last mark brought rows; one that a fetch dropped is not.
-    last = before.groupBy(*marks).agg(F.max(F.struct("batch", "held")).alias("_last"))
-    stored = last.where("_last.held").select(*marks)
-    newest = last_periods(stored, owner, period, n)
-    fixed = stored.join(newest, marks, "left_anti")
-    accepted = rows.join(fixed, marks, "left_anti")
-    owners = rows.select(*owner).distinct()
-    # Mark the periods this batch replaces: those it brings and the owner's newest ones that it dropped.
-    brought = accepted.select(*marks).distinct()
-    dropped = newest.join(owners, owner, "left_semi").select(*marks).distinct().join(brought, marks, "left_anti")
-    replaced = brought.withColumn("held", F.lit(True)).unionByName(dropped.withColumn("held", F.lit(False)))
-    accepted.write.mode("overwrite").parquet(_batch_folder(f"{path}/rows", batch))
-    replaced.write.mode("overwrite").parquet(_batch_folder(f"{path}/marks", batch))
-
-
-def refresh_stream(stream: DataFrame, path: str, checkpoint: str, owner: list[str], period: list[str], n: int = 8) -> None:
-    run_available(stream, checkpoint, lambda rows, batch: refresh_batch(rows, batch, path, owner, period, n))
-
-
-def refreshed(spark: SparkSession, path: str, owner: list[str], period: list[str], keys: list[str], ties: list[str]) -> DataFrame:
-    """Current rows: those of the batch that last replaced their period, one per key."""
-    marks = [*owner, *period]
-    last = spark.read.parquet(f"{path}/marks").groupBy(*marks).agg(F.max("batch").alias("_last"))
-    rows = spark.read.parquet(f"{path}/rows").join(last, marks).where(F.col("batch") == F.col("_last"))
-    return keep_latest(rows, keys, "batch", ties).drop("batch", "_last")
+def landed(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The latest row per key over all batches, as stored."""
+    return GN.read_current(spark, path, schema)
+
+
+def refresh_batch(
+    rows: DataFrame, batch: int, path: str, owner: list[str], period: list[str], keys: list[str], ties: list[str], n: int = 8, buckets: int = 64
+) -> None:
+    """Take a batch in under the refresh rule: an owner's periods older than its n newest stored ones stay.
+
+    A period is stored while it has rows, so one that a fetch dropped is not. Only the buckets of the batch's owners are read and written.
+    """
+
+    def merge(stored: DataFrame, fetched: DataFrame) -> DataFrame:
+        return refresh(stored, fetched, owner, period, keys, ties, n)
+
+    GN.rewrite(rows, batch, path, owner, merge, buckets)
+
+
+def refresh_stream(
+    stream: DataFrame, path: str, checkpoint: str, owner: list[str], period: list[str], keys: list[str], ties: list[str], n: int = 8, buckets: int = 64
+) -> None:
+    run_available(stream, checkpoint, lambda rows, batch: refresh_batch(rows, batch, path, owner, period, keys, ties, n, buckets))
+
+
+def refreshed(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The rows after the last batch, one per key."""
+    return GN.read_current(spark, path, schema)
 
 
 def downsample(stream: DataFrame, moment: str, value: str, series: list[str], length: str, delay: str) -> DataFrame:

@@ -166,3 +166,57 @@ def test_yearly_rows_and_own_dates_reach_the_panel(spark):
     series = spark.createDataFrame([], "series_id string, date date, value double")
     out = {(r.firm_id, r.fiscal_period): str(r.end_date) for r in cleaning.clean(facts, series).collect()}
     assert out == {("f", "FY"): "2019-09-30", ("f", "Q1"): "2020-03-31", ("g", "FY"): "2019-12-31"}
+
+
+def test_the_row_of_a_date_does_not_depend_on_the_order_of_rows(spark):
+    """Q4 and FY end on one day and are filed on one: the quarter stays; equal filings are told apart by their values."""
+    names = {v: k for k, v in panel.PANEL_NAMES.items()}
+    measures = ", ".join(f"{names[m]} double" for m in panel.MEASURES)
+    data = [
+        ("f", 2020, "FY", "2020-12-31", "2021-02-01", *[4.0] * 8),
+        ("f", 2020, "Q4", "2020-12-31", "2021-02-01", *[1.0] * 8),
+        ("f", 2020, "Q4", "2020-12-31", "2021-02-01", *[2.0] * 8),
+        ("g", 2020, "Q4", "2020-12-31", None, *[9.0] * 8),
+        ("g", 2020, "FY", "2020-12-31", "2021-03-01", *[3.0] * 8),
+    ]
+    schema = f"cik string, fiscal_year int, fiscal_period string, end_date string, filed_date string, {measures}"
+    for turn in range(5):
+        turned = data[turn:] + data[:turn]
+        got = panel.build_panel(spark.createDataFrame(turned, schema).coalesce(1)).select("firm_id", "total_assets").collect()
+        assert sorted(map(tuple, got)) == [("f", 2.0), ("g", 3.0)]
+
+
+def test_filings_of_a_quarter_keep_their_own_rows(spark):
+    facts = spark.createDataFrame(
+        [
+            ("f", 2020, "Q1", "Assets", "2020-05-01", 10.0, "2020-03-31"), ("f", 2020, "Q1", "Liabilities", "2020-05-01", 4.0, "2020-03-31"),
+            ("f", 2020, "Q1", "Assets", "2020-06-01", 20.0, "2020-03-31"), ("f", 2020, "Q2", "Assets", "2020-08-01", 30.0, None),
+        ],
+        "firm_id string, fiscal_year int, fiscal_period string, tag string, filed_date string, value double, end_date string",
+    )
+    series = spark.createDataFrame([("DFF", date(2020, 2, 1), 1.5)], "series_id string, date date, value double")
+    tags = ["Assets", "Liabilities", "StockholdersEquity", "NetIncomeLoss", "NetCashProvidedByUsedInOperatingActivities", "InterestExpense", "OperatingIncomeLoss", "RetainedEarningsAccumulatedDeficit"]
+    filed = cleaning.clean(facts, series, tags, grain="filing")
+    assert rows(filed.select("filed_date", "end_date", "Assets", "Liabilities", "StockholdersEquity", "FedFundsRate")) == [
+        ("2020-05-01", date(2020, 3, 31), 10.0, 4.0, 6.0, 1.5), ("2020-06-01", date(2020, 3, 31), 20.0, 0.0, 0.0, 1.5), ("2020-08-01", date(2020, 6, 30), 30.0, 0.0, 0.0, 1.5),
+    ]
+    made = panel.build_panel(filed).orderBy("date").select("date", "total_assets", "total_liabilities").collect()
+    assert [tuple(r) for r in made] == [(date(2020, 3, 31), 20.0, 0.0), (date(2020, 6, 30), 30.0, 0.0)]
+    merged = cleaning.clean(facts, series, tags)
+    assert rows(merged.select("fiscal_period", "Assets", "Liabilities")) == [("Q1", 20.0, 4.0), ("Q2", 30.0, 0.0)]
+    with pytest.raises(ValueError, match="grain"):
+        cleaning.clean(facts, series, tags, grain="page")
+
+
+def test_typed_facts_read_years_and_names_as_they_come(spark):
+    raw = spark.createDataFrame(
+        [
+            ("17", "2019.0", " q1", "Assets", "2020-05-01", 1.0, None), ("17", "2019", "Q1", "Assets", "2020-06-01", 2.0, None), ("17", "2019", "Q5", "Assets", "2020-06-01", 3.0, None),
+            ("17", "x", "Q1", "Assets", "2020-06-01", 4.0, None), ("17", "nan", "Q1", "Assets", "2020-06-01", 5.0, None), ("17", "2031", "FY", "Assets", "soon", 6.0, None),
+            ("17", "2030", "fy", "Assets", "soon", 7.0, None),
+        ],
+        "` CIK` string, Fiscal_Year string, fiscal_period string, TAG string, filed_date string, value double, quarter_end_date string",
+    )
+    typed = cleaning.typed_facts(raw, ["value"], "cik")
+    assert "quarter_end_date" not in typed.columns
+    assert rows(typed.select("cik", "fiscal_year", "fiscal_period", "quarter_key", "value")) == [("0000000017", 2019, "Q1", "2019_Q1", 2.0), ("0000000017", 2030, "FY", "2030_FY", 7.0)]

@@ -160,3 +160,44 @@ def test_equal_keys_are_written_by_several_tasks(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(list((tmp_path / "out" / "day=d").glob("part-*.parquet"))) > 1
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_tables_need_no_exchange(spark, tmp_path):
+    from pyspark.sql import Window
+
+    df = spark.createDataFrame([(i % 5, i, float(i)) for i in range(50)], "firm int, quarter int, v double")
+    one = T.store_bucketed(df, "bucketed_one", str(tmp_path / "one"), ["firm"], ["quarter"], buckets=4)
+    two = T.store_bucketed(df.withColumn("w", F.col("v") * 2).drop("v"), "bucketed_two", str(tmp_path / "two"), ["firm"], ["quarter"], buckets=4)
+    lagged = one.withColumn("before", F.lag("v").over(Window.partitionBy("firm").orderBy("quarter")))
+    assert "Exchange" not in plan(lagged)
+    assert rows(lagged.where("firm = 3").select("quarter", "before"))[:2] == [(13, 8.0), (18, 13.0)]
+    joined = one.hint("merge").join(two, "firm").groupBy("firm").agg(F.count("*"))
+    assert "Exchange" not in plan(joined) and len(rows(joined)) == 5
+    for name in ("bucketed_one", "bucketed_two"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_hash_buckets_bound_the_folders_and_prune(spark, tmp_path):
+    path = str(tmp_path / "b")
+    df = spark.createDataFrame([(f"{i:010d}", float(i)) for i in range(500)] + [(None, -1.0)], "firm string, v double")
+    for kind in ("parquet", "json"):
+        T.write_hash_buckets(df, f"{path}-{kind}", "firm", 8, kind)
+        assert len([f for f in (tmp_path / f"b-{kind}").iterdir() if f.is_dir()]) <= 8
+        whole = T.read_hash_buckets(spark, f"{path}-{kind}", "firm string, v double", "firm", 8, kind=kind)
+        assert rows(whole) == rows(df)
+        one = T.read_hash_buckets(spark, f"{path}-{kind}", "firm string, v double", "firm", 8, "0000000123", kind)
+        assert rows(one) == [("0000000123", 123.0)]
+        filters = plan(one).split("PartitionFilters: [")[1].split("]")[0]
+        assert "bucket" in filters
+        read = {f.rsplit("bucket=", 1)[1].split("/")[0] for f in one.inputFiles()}
+        assert len(read) >= 1
+
+
+def test_a_folder_with_a_file_name_is_read_as_the_file(spark, tmp_path):
+    spark.range(3).repartition(2).write.parquet(str(tmp_path / "in" / "series_id=GDP.parquet"))
+    spark.range(2).write.parquet(str(tmp_path / "in" / "other.parquet"))
+    assert rows(T.read_keyed_files(spark, str(tmp_path / "in"), "series_id").groupBy("series_id").count()) == [("GDP", 3)]

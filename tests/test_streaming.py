@@ -3,6 +3,8 @@ from pyspark.sql import functions as F
 
 from quarterline.operators import refresh as RF
 from quarterline.operators.dedup import keep_latest
+from quarterline.session import exists, fresh_folder, scratch, subfolders
+from quarterline.sources import generations as GN
 from quarterline.streaming import drift as SD
 from quarterline.streaming import landing as ST
 
@@ -23,7 +25,7 @@ def test_landing_keeps_the_latest_over_batches(spark, tmp_path):
         part.write.mode("append").parquet(inbox)
         whole = part if whole is None else whole.unionByName(part)
         ST.land_latest(spark.readStream.schema(FACT).parquet(inbox), table, state, keys, "filed", ["value"])
-    assert rows(ST.landed(spark, table, keys, "filed", ["value"])) == rows(keep_latest(whole, keys, "filed", ["value"]))
+    assert rows(ST.landed(spark, table, FACT)) == rows(keep_latest(whole, keys, "filed", ["value"]))
 
 
 def test_refresh_stream_equals_the_batch_operator(spark, tmp_path):
@@ -32,10 +34,10 @@ def test_refresh_stream_equals_the_batch_operator(spark, tmp_path):
     stored = None
     for batch, (value, quarters) in enumerate(((1.0, 12), (2.0, 13), (3.0, 11))):
         part = facts(spark, value, quarters, "2020-01-01").drop("filed")
-        ST.refresh_batch(part, batch, path, owner, period)
-        ST.refresh_batch(part, batch, path, owner, period)  # a replay leaves the same state
+        ST.refresh_batch(part, batch, path, owner, period, keys, ["value"])
+        ST.refresh_batch(part, batch, path, owner, period, keys, ["value"])  # a replay leaves the same state
         stored = part if stored is None else RF.refresh(stored, part, owner, period, keys, ["value"])
-        got = ST.refreshed(spark, path, owner, period, keys, ["value"])
+        got = ST.refreshed(spark, path, part.schema)
         assert rows(got.select(*keys, "value")) == rows(stored.select(*keys, "value"))
 
 
@@ -61,8 +63,57 @@ def test_refresh_over_a_shrinking_fetch(spark, tmp_path):
     owner, period, keys = ["firm_id"], ["fiscal_year", "fiscal_period"], ["firm_id", "fiscal_year", "fiscal_period", "tag"]
     stored = batches[0]
     for k, rows in enumerate(batches):
-        ST.refresh_batch(rows, k, str(tmp_path / "table"), owner, period)
+        ST.refresh_batch(rows, k, str(tmp_path / "table"), owner, period, keys, ["value"])
         if k:
             stored = RF.refresh(stored, rows, owner, period, keys, ["value"])
-    out = ST.refreshed(spark, str(tmp_path / "table"), owner, period, keys, ["value"])
+    out = ST.refreshed(spark, str(tmp_path / "table"), kinds)
     assert sorted(map(tuple, out.select(*stored.columns).collect())) == sorted(map(tuple, stored.collect()))
+
+
+KINDS = "k string, v int, w int"
+
+
+def latest(stored, fetched):
+    return keep_latest(stored.unionByName(fetched), ["k"], "v", ["w"])
+
+
+def test_a_batch_touches_only_its_buckets_however_many_came_before(spark, tmp_path):
+    """Files and rows read by a batch stay the same while batches go on; files that nobody can need are gone."""
+    path, read = str(tmp_path / "table"), []
+
+    def merge(stored, fetched):
+        read.append((len(stored.inputFiles()), stored.count()))
+        return latest(stored, fetched)
+
+    whole = spark.createDataFrame([(f"k{i}", 0, i) for i in range(40)], KINDS)
+    GN.rewrite(whole, 0, path, ["k"], merge, buckets=8)
+    for batch in range(1, 8):
+        GN.rewrite(spark.createDataFrame([("k3", batch, 0)], KINDS), batch, path, ["k"], merge, buckets=8)
+    assert len(set(read[1:])) == 1 and read[1][0] <= 2 and read[1][1] < 20
+    got = {r["k"]: r["v"] for r in GN.read_current(spark, path, KINDS).collect()}
+    assert got == {f"k{i}": 7 if i == 3 else 0 for i in range(40)}
+    assert len(subfolders(spark, f"{path}/map")) == 2
+    assert sum(bool(subfolders(spark, f"{path}/rows/{g}")) for g in subfolders(spark, f"{path}/rows")) == 3
+
+
+def test_generations_survive_replays_gaps_and_empty_batches(spark, tmp_path):
+    path = str(tmp_path / "table")
+    assert GN.read_current(spark, path, KINDS).count() == 0 and GN.last_batch(spark, path) == -1
+    parts = [[("a", 1, 1), ("b", 1, 1), (None, 1, 1)], [], [("a", 3, 1), ("a", 2, 9)], [("b", 0, 5), (None, 4, 4)]]
+    for batch, part in zip((0, 1, 4, 5), parts, strict=True):
+        for _ in range(2):
+            GN.rewrite(spark.createDataFrame(part, KINDS), batch, path, ["k"], latest, buckets=3)
+    assert rows(GN.read_current(spark, path, KINDS)) == [("a", 3, 1), ("b", 1, 1), (None, 4, 4)]
+    # A bucket whose rows a merge drops is gone from the map.
+    GN.rewrite(spark.createDataFrame([("a", 9, 9)], KINDS), 6, path, ["k"], lambda stored, fetched: fetched.where("false"), buckets=1000)
+    assert GN.last_batch(spark, path) == 6
+
+
+def test_scratch_removes_what_was_made_inside(spark):
+    outer = fresh_folder(spark, "outer")
+    spark.range(2).write.parquet(outer)
+    with scratch(spark):
+        inner = fresh_folder(spark, "inner")
+        spark.range(3).write.parquet(inner)
+        assert exists(spark, inner)
+    assert exists(spark, outer) and not exists(spark, inner)
