@@ -325,17 +325,40 @@ def psi_matrix(spark, folder):
     return wide.withColumns({f: F.round(f, 6) for f in KEY})
 
 
-@query("s18_bias_report")
+def _long_sql(section: str, source: str, name: list[str], values: list[str]) -> str:
+    """A result as (section, name, measure, value) rows."""
+    picked = ", ".join(f"CAST({v} AS DOUBLE) AS {v}" for v in values)
+    return f"""SELECT '{section}' AS section, name, measure, {r('value', 3)} AS value FROM (
+ SELECT {" || ' / ' || ".join(name)} AS name, {picked} FROM ({source})) UNPIVOT INCLUDE NULLS (value FOR measure IN ({", ".join(values)}))"""
+
+
+def _report_sql() -> str:
+    from quarterline.catalog.registry import ORACLE
+
+    alerts = ctes("features", extra=_MATRIX) + "SELECT printf('HIGH DRIFT: %s between %s and %s (PSI=%.3f)', feature, slice_a, slice_b, psi) AS alert, psi FROM matrix WHERE psi > 0.25"
+    return " UNION ALL ".join(
+        [
+            _long_sql("slice statistics", ORACLE["s2_slice_stats"], ["dimension", "slice", "feature"], ["sample_count", *_STATS]),
+            _long_sql("drift", ORACLE["s5_drift_matrix"], ["dimension", "slice_a", "slice_b", "feature"], ["psi", "js_divergence"]),
+            _long_sql("drift alerts", alerts, ["alert"], ["psi"]),
+            _long_sql("effect sizes", ORACLE["s9_effect_sizes"], ["feature", "signal"], ["cohens_d"]),
+            _long_sql("fairness", ORACLE["s16_model_fairness"], ["dimension", "slice", "metric"], ["slice_value", "overall_value", "gap"]),
+            _long_sql("thresholds", ORACLE["s17_threshold_suggestions"], ["dimension", "slice"], ["suggested_threshold"]),
+        ]
+    )
+
+
+@query("s18_bias_report", _report_sql())
 def bias_report(spark, folder):
     """Slice statistics, drift, effect sizes and fairness as one long table."""
     from quarterline.catalog.evaluation import _fair
     from quarterline.operators.joins import stacked
 
-    engineered = materialise(X.engineered(spark, folder))
+    engineered = _stored(spark, folder)
     members = SL.slice_members(engineered, SPLIT_YEAR, RATE_LIMIT)
     matrix = SL.drift_matrix(engineered, KEY, members)
-    fair = _fair(spark, folder)
-    return stacked(
+    fair = materialise(_fair(spark, folder))
+    report = stacked(
         SL.report_rows("slice statistics", SL.slice_stats(engineered, KEY, members=members), ["dimension", "slice", "feature"], ["sample_count", *_STATS]),
         SL.report_rows("drift", matrix, ["dimension", "slice_a", "slice_b", "feature"], ["psi", "js_divergence"]),
         SL.report_rows("drift alerts", SL.drift_alerts(matrix), ["alert"], ["psi"]),
@@ -343,3 +366,4 @@ def bias_report(spark, folder):
         SL.report_rows("fairness", fair, ["dimension", "slice", "metric"], ["slice_value", "overall_value", "gap"]),
         SL.report_rows("thresholds", SL.threshold_suggestions(fair), ["dimension", "slice"], ["suggested_threshold"]),
     )
+    return report.withColumn("value", F.round("value", 3))
