@@ -157,7 +157,7 @@ class Squares:
     def finish(self):
         flat = self.sums.ravel()
         cells = np.flatnonzero(flat)
-        return cells, np.zeros(len(cells), np.int64), flat[cells]
+        return cells, flat[cells], None, None
 
 
 class Outside(Squares):
@@ -197,7 +197,7 @@ class EqualBins:
 
     def finish(self):
         cells = np.flatnonzero(self.counts)
-        return cells, np.zeros(len(cells), np.int64), self.counts[cells].astype(float)
+        return cells, self.counts[cells].astype(float), None, None
 
 
 def rising(values: np.ndarray) -> np.ndarray:
@@ -206,12 +206,20 @@ def rising(values: np.ndarray) -> np.ndarray:
     return np.where(bits >= _TOP, ~bits, bits | _TOP)
 
 
+def _signed(numbers: np.ndarray) -> np.ndarray:
+    """Unsigned numbers as signed ones of the same order, and back."""
+    return (numbers.view(np.uint64) ^ _TOP).view(np.int64)
+
+
 def from_rising(numbers: np.ndarray) -> np.ndarray:
     return np.where(numbers >= _TOP, numbers ^ _TOP, ~numbers).view(np.float64)
 
 
 class Brackets:
-    """Ranges of `rising` numbers per (slice, column); a range that isn't there has its low above its high."""
+    """Ranges of `rising` numbers per (slice, column), cut into bins of 2^shift numbers: each bin's count, smallest and largest number.
+
+    Without `shift` the numbers themselves with their counts. A range that isn't there has its low above its high.
+    """
 
     def __init__(self, low: np.ndarray, high: np.ndarray, shift: np.ndarray | None = None, bins: int = 0):
         self.low, self.high, self.shift, self.bins = low, high, shift, bins
@@ -220,6 +228,7 @@ class Brackets:
     def start(self):
         if self.shift is not None:
             self.counts = np.zeros(self.size, np.int64)
+            self.least, self.most = np.full(self.size, ~np.uint64(0)), np.zeros(self.size, np.uint64)
         else:
             self.listed: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -235,19 +244,25 @@ class Brackets:
                 self.listed.append((pair, numbers[inside]))
             else:
                 place = (numbers[inside] - low[inside]) >> self.shift[codes[row], column, j]
-                np.add.at(self.counts, pair * self.bins + place.astype(np.int64), 1)
+                cell = pair * self.bins + place.astype(np.int64)
+                np.add.at(self.counts, cell, 1)
+                np.minimum.at(self.least, cell, numbers[inside])
+                np.maximum.at(self.most, cell, numbers[inside])
 
     def finish(self):
         if self.shift is not None:
             cells = np.flatnonzero(self.counts)
-            return cells, np.zeros(len(cells), np.int64), self.counts[cells].astype(float)
+            return cells, self.counts[cells].astype(float), _signed(self.least[cells]), _signed(self.most[cells])
         pairs, numbers = (np.concatenate([x[i] for x in self.listed] or [np.zeros(0, t)]) for i, t in ((0, np.int64), (1, np.uint64)))
-        both, counts = np.unique(np.stack([pairs, numbers.view(np.int64)], 1), axis=0, return_counts=True)
-        return both[:, 0], both[:, 1], counts.astype(float)
+        both, counts = np.unique(np.stack([pairs, _signed(numbers)], 1), axis=0, return_counts=True)
+        return both[:, 0], counts.astype(float), both[:, 1], both[:, 1]
+
 
+def fold(df: DataFrame, members: Members, found: Extents, jobs: list) -> list[tuple[np.ndarray, ...]]:
+    """One pass of all jobs over the table: for each job its cells with their amounts and their least and most numbers over all rows.
 
-def fold(df: DataFrame, members: Members, found: Extents, jobs: list) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """One pass of all jobs over the table: for each job the cells, numbers and amounts summed over all rows (bounded by the jobs' sizes)."""
+    Bounded by the jobs' sizes. A job that lists numbers has a row per cell and number.
+    """
     columns, m = found.columns, len(members)
     place = {k: i for i, k in enumerate(found.keys)}
 
@@ -261,15 +276,21 @@ def fold(df: DataFrame, members: Members, found: Extents, jobs: list) -> list[tu
                 for job in jobs:
                     job.add(known, values[rows])
         for i, job in enumerate(jobs):
-            cells, numbers, amounts = job.finish()
+            cells, amounts, least, most = job.finish()
+            blank = np.zeros(len(cells), np.int64)
+            least, most = (blank, blank) if least is None else (least, most)
+            # Only numbers that are listed tell rows of a cell apart.
+            listed = least if isinstance(job, Brackets) and job.shift is None else blank
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(cells), i, np.int32)), pa.array(cells.astype(np.int64)), pa.array(numbers), pa.array(amounts)], ["job", "cell", "number", "amount"]
+                [pa.array(np.full(len(cells), i, np.int32)), pa.array(cells.astype(np.int64)), pa.array(listed), pa.array(amounts), pa.array(least), pa.array(most)],
+                ["job", "cell", "number", "amount", "least", "most"],
             )
 
-    folded = _marked(df, members, columns).mapInArrow(run, "job int, cell long, number long, amount double")
-    rows = folded.groupBy("job", "cell", "number").agg(F.sum("amount").alias("amount")).toArrow()
-    job, cell, number, amount = (rows[c].to_numpy() for c in ("job", "cell", "number", "amount"))
-    return [(cell[job == i], number[job == i], amount[job == i]) for i in range(len(jobs))]
+    folded = _marked(df, members, columns).mapInArrow(run, "job int, cell long, number long, amount double, least long, most long")
+    summed = folded.groupBy("job", "cell", "number").agg(F.sum("amount").alias("amount"), F.min("least").alias("least"), F.max("most").alias("most"))
+    rows = summed.toArrow()
+    job, *others = (rows[c].to_numpy() for c in ("job", "cell", "amount", "least", "most"))
+    return [tuple(column[job == i] for column in others) for i in range(len(jobs))]
 
 
 def _dense(shape: tuple, cells: np.ndarray, amounts: np.ndarray) -> np.ndarray:
@@ -325,11 +346,11 @@ class Quantiles:
                 self.asked[pair * ranges + j] = (*entry, bits)
         return Brackets(low, high) if self.listing else Brackets(low, high, shift, self.bins)
 
-    def take(self, cells: np.ndarray, numbers: np.ndarray, amounts: np.ndarray):
-        """The result of the pass."""
+    def take(self, cells: np.ndarray, amounts: np.ndarray, least: np.ndarray, most: np.ndarray):
+        """The result of the pass. A bin's smallest and largest number are its new range, so one that holds one number only is settled."""
         self.open = []
         if self.listing:
-            numbers = numbers.view(np.uint64)
+            numbers = _signed(least).view(np.uint64)
             order = np.lexsort([numbers, cells])
             cells, numbers, counts = cells[order], numbers[order], amounts[order].astype(np.int64)
             for key, (pair, _, _, first, count, _) in self.asked.items():
@@ -341,13 +362,13 @@ class Quantiles:
             return
         order = np.argsort(cells)
         cells, counts = cells[order], amounts[order].astype(np.int64)
-        for key, (pair, low, high, first, _, bits) in self.asked.items():
+        lows, highs = (_signed(x[order]).view(np.uint64) for x in (least, most))
+        for key, (pair, _, _, first, _, _) in self.asked.items():
             a, b = np.searchsorted(cells, [key * self.bins, (key + 1) * self.bins])
             after = first + np.cumsum(counts[a:b])
             holding = {int(np.searchsorted(after, r, side="right")) for r in self.wanted[pair] if first <= r < after[-1]}
             for i in sorted(holding):
-                start = low + (int(cells[a + i]) - key * self.bins << bits)
-                self._keep(pair, start, min(high, start + (1 << bits) - 1), int(after[i] - counts[a + i]), int(counts[a + i]))
+                self._keep(pair, int(lows[a + i]), int(highs[a + i]), int(after[i] - counts[a + i]), int(counts[a + i]))
 
     def result(self, share: float) -> np.ndarray:
         """Quantile with linear interpolation, slices x columns."""
@@ -376,11 +397,11 @@ def summaries(df: DataFrame, members: Members, columns: list[str], quantiles: di
         if job is not None:
             search.take(*results[-1])
         if parts and "std" not in more:
-            squares = _dense(shape, results[0][0], results[0][2])
+            squares = _dense(shape, *results[0][:2])
             std = more["std"] = np.where(found.present > 1, np.sqrt(squares / np.maximum(found.present - 1, 1)), np.nan)
             parts = [Outside(found.mean - sigmas * std, found.mean + sigmas * std)]
         elif parts:
-            far = _dense(shape, results[0][0], results[0][2])
+            far = _dense(shape, *results[0][:2])
             more["outlier_rate"] = np.where(more["std"] > 0, far / found.rows, 0.0)
             parts = []
         job = search.job()

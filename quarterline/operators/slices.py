@@ -161,7 +161,7 @@ def _member_drift(df: DataFrame, members: folds.Members, columns: list[str], bin
             low[i, :, j], high[i, :, j] = np.minimum(found.low[i], found.low[k]), np.maximum(found.high[i], found.high[k])
     counts = np.zeros((*low.shape, bins), np.int64)
     if ranges:
-        ((cells, _, amounts),) = folds.fold(df, members, found, [folds.EqualBins(low, high, bins)])
+        ((cells, amounts, _, _),) = folds.fold(df, members, found, [folds.EqualBins(low, high, bins)])
         counts.reshape(-1)[cells] = amounts.astype(np.int64)
     rows = []
     for i, partners in enumerate(others):
