@@ -2,8 +2,9 @@
 
 Distinct vectors are projected on random directions, a few for each curve, shifted, laid on a grid and ordered along a Hilbert curve.
 Spark range-partitions the orderings; a query is compared with the `window` vectors before and after it on each curve, and the best of
-all curves are merged and ranked by exact distance. The window is doubled for the queries whose nearest still changed, until none do;
-queries that are open when the windows on all curves would hold more vectors than there are get compared with every vector.
+all curves are merged, ranked by exact distance. A round takes a few new curves and twice the window of the round before, so it looks at as
+many vectors as all rounds before it; a query takes part until a round leaves its nearest as they are, or the windows of all rounds held
+as many vectors as there are. Every vector is met through its place on a curve, at every size of the table.
 """
 
 from __future__ import annotations
@@ -18,21 +19,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quarterline.llm.common import by_groups, partitions, stored
+from quarterline.session import fresh_folder, remove
 
 #: Vectors from which centre and spread of the projections are taken; every vector is indexed.
 FIT_SAMPLE = 4096
-#: Most vectors, and most queries, that a task compares at a time.
-STRETCH, ASKS = 8192, 2048
+#: Most vectors that a task compares with a query at a time.
+STRETCH = 8192
 
 
 @dataclass(frozen=True)
 class Curves:
-    """curves: orderings; axes, bits: dimensions and bits of each grid; window: vectors first looked at on either side of a query."""
+    """curves: new orderings of a round; axes, bits: dimensions and bits of each grid; window: vectors on either side of a query in the first
+    round, twice as many in each later one."""
 
-    curves: int = 24
+    curves: int = 4
     axes: int = 8
     bits: int = 24
-    window: int = 1024
+    window: int = 512
     seed: int = 5
 
 
@@ -79,7 +82,8 @@ def usable(vectors: DataFrame) -> DataFrame:
     Of rows that share a vec_id the smallest vector, in array order, takes part.
     """
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(finite)
     lengths = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
     return rows.where(F.size("embedding") == (lengths.n if lengths else 0)).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
@@ -95,13 +99,13 @@ def distinct_vectors(rows: DataFrame, k: int, is_query) -> tuple[DataFrame, Data
     return classes.join(asked, "class", "left").withColumn("asked", F.coalesce("asked", F.lit(False))), queries
 
 
-def _projections(classes: DataFrame, p: Curves) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+def _projections(classes: DataFrame, p: Curves, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """Directions (curves, dimensions, axes), origin and cell width per curve and axis."""
     sample = classes.select("class", "embedding").orderBy(F.xxhash64("class"), "class").limit(FIT_SAMPLE).toPandas()
     if sample.empty:
         return None
     data = np.array(sample["embedding"].tolist(), np.float64)
-    rng = np.random.default_rng(p.seed)
+    rng = np.random.default_rng([p.seed, turn])
     directions = rng.normal(size=(p.curves, data.shape[1], p.axes))
     if data.shape[1] >= p.axes:
         directions = np.linalg.qr(directions)[0]
@@ -111,9 +115,9 @@ def _projections(classes: DataFrame, p: Curves) -> tuple[np.ndarray, np.ndarray,
     return directions, y.mean(1) + spread * rng.uniform(-10, -6, spread.shape), 16 * spread / (1 << p.bits)
 
 
-def order_along_curves(classes: DataFrame, p: Curves) -> DataFrame:
-    """curve, rank along it, class, vec (doubles as bytes), asked: stored, range-partitioned by curve and key."""
-    fitted = _projections(classes, p)
+def order_along_curves(classes: DataFrame, p: Curves, turn: int, home: str) -> DataFrame:
+    """curve, rank along it, class, vec (its numbers as bytes), asked: the curves of a round, stored under `home`, ranged by curve and key."""
+    spark, fitted = classes.sparkSession, _projections(classes, p, turn)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         directions, origin, width = fitted
@@ -146,13 +150,16 @@ def order_along_curves(classes: DataFrame, p: Curves) -> DataFrame:
             )
 
     keyed = classes.select("class", "embedding", "asked").mapInArrow(keys, "curve int, key binary, class long, vec binary, asked boolean")
-    n = max(partitions(classes.sparkSession), p.curves)
+    n = max(partitions(spark), p.curves)
     sorted_rows = keyed.repartitionByRange(n, "curve", "key", "class").sortWithinPartitions("curve", "key", "class")
-    rows = stored(sorted_rows.mapInArrow(number, "curve int, place int, at long, class long, vec binary, asked boolean"), "curves")
+    schema = "curve int, place int, at long, class long, vec binary, asked boolean"
+    sorted_rows.mapInArrow(number, schema).write.parquet(f"{home}/curves")
+    rows = spark.read.schema(schema).parquet(f"{home}/curves")
     # One row per partition and curve: how many rows of the curve lie in the partitions before.
     counts = rows.groupBy("curve", "place").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(W.partitionBy("curve").orderBy("place").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    offsets = stored(counts.select("curve", "place", before.alias("before")), "offsets")
+    counts.select("curve", "place", before.alias("before")).write.parquet(f"{home}/offsets")
+    offsets = spark.read.schema("curve int, place int, before long").parquet(f"{home}/offsets")
     return rows.join(offsets, ["curve", "place"]).select("curve", (F.col("before") + F.col("at")).alias("rank"), "class", "vec", "asked")
 
 
@@ -174,97 +181,69 @@ def closest(points: np.ndarray, ids: np.ndarray, asks: np.ndarray, allowed, k: i
     return out
 
 
-def _matches(rows: pa.Table, k: int, ranks: tuple[int, int] | None) -> pa.Table | None:
-    """query, class, score of one group of points and queries; `ranks`: only what is farther along the curve than the one, up to the other."""
+def _matches(rows: pa.Table, k: int, window: int, kind: type) -> pa.Table | None:
+    """query, class, score of one stretch and its queries: what is at most `window` ranks away."""
     asks = rows.column("query").to_numpy(zero_copy_only=False)
     if not asks.any() or asks.all():
         return None
     rank, ids = rows.column("rank").to_numpy(), rows.column("class").to_numpy()
-    data = np.frombuffer(b"".join(rows.column("vec").to_pylist()), np.float64).reshape(len(ids), -1)
+    data = np.frombuffer(b"".join(rows.column("vec").to_pylist()), kind).reshape(len(ids), -1).astype(np.float64)
 
     def allowed(first: int, last: int) -> np.ndarray:
-        other = ids[~asks] != ids[asks][first:last, None]
-        if ranks is None:
-            return other
         gap = np.abs(rank[~asks] - rank[asks][first:last, None])
-        return other & (gap > ranks[0]) & (gap <= ranks[1])
+        return (gap <= window) & (ids[~asks] != ids[asks][first:last, None])
 
     found = closest(data[~asks], ids[~asks], data[asks], allowed, k)
     queries = np.repeat(ids[asks], [len(x) for x, _ in found])
     return pa.table({"query": queries, "class": np.concatenate([x for x, _ in found]), "score": np.concatenate([x for _, x in found])})
 
 
-def window_matches(ranked: DataFrame, asked: DataFrame, low: int, high: int, k: int) -> DataFrame:
-    """query (class), class, score: the best k of each stretch of each curve more than `low` and at most `high` ranks from the query.
+def window_matches(ranked: DataFrame, asked: DataFrame, window: int, k: int, kind: type) -> DataFrame:
+    """query (class), class, score: the best k of each stretch of each curve at most `window` ranks from the query.
 
     Curves are cut into stretches of ranks. Every vector lies in one; a query is also sent to the stretches its window reaches.
     """
-    size = min(high, STRETCH)
+    size = min(window, STRETCH)
     curve, stretch = F.col("curve").cast("long").alias("curve"), F.floor(F.col("rank") / size)
     vectors = ranked.select(curve, stretch.alias("stretch"), "rank", "class", "vec", F.lit(False).alias("query"))
-    reach = F.explode(F.sequence(F.floor(F.greatest(F.col("rank") - high, F.lit(0)) / size), F.floor((F.col("rank") + high) / size)))
+    reach = F.explode(F.sequence(F.floor(F.greatest(F.col("rank") - window, F.lit(0)) / size), F.floor((F.col("rank") + window) / size)))
     queries = asked.select(curve, reach.alias("stretch"), "rank", "class", "vec", F.lit(True).alias("query"))
-    queries = queries.where((F.col("stretch") * size < F.col("rank") - low) | ((F.col("stretch") + 1) * size > F.col("rank") + low + 1))
-    if low:
-        vectors = vectors.join(queries.select("curve", "stretch").distinct(), ["curve", "stretch"], "left_semi").select(*queries.columns)
-    return by_groups(vectors.unionByName(queries), ["curve", "stretch"], lambda rows: _matches(rows, k, (low, high)), "query long, class long, score double")
-
-
-def all_matches(classes: DataFrame, asked: DataFrame, n: int, n_asked: int, k: int) -> DataFrame:
-    """query (class), class, score: the best k of every block of vectors; each block of queries meets each block of vectors."""
-    blocks, ask_blocks = -(-n // STRETCH), -(-n_asked // ASKS)
-    deal = lambda m: F.pmod(F.xxhash64("class"), F.lit(m))
-    every = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
-    rest = lambda q: (F.lit(0).cast("long").alias("rank"), "class", "embedding", F.lit(q).alias("query"))
-    points = classes.select(deal(blocks).alias("block"), every(ask_blocks).alias("asks"), *rest(False))
-    queries = asked.select(every(blocks).alias("block"), deal(ask_blocks).alias("asks"), *rest(True))
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data = batch.column("embedding").flatten().to_numpy().reshape(batch.num_rows, -1)
-            vec = pa.array([x.tobytes() for x in data], pa.binary())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("block", "asks", "rank", "class")), vec, batch.column("query")], names)
-
-    names = ["block", "asks", "rank", "class", "vec", "query"]
-    rows = points.unionByName(queries).mapInArrow(packed, "block long, asks long, rank long, class long, vec binary, query boolean")
-    return by_groups(rows, ["block", "asks"], lambda rows: _matches(rows, k, None), "query long, class long, score double")
-
-
-def settled_matches(classes: DataFrame, p: Curves, k: int) -> DataFrame:
-    """query (class), class, score: each asked class's k closest classes, from windows that are doubled until its k closest stay the same."""
-    n = classes.count()
-    asked = classes.where("asked").select("class", "embedding")
-    # A first round settles nothing by itself, so curves are of use only where a second one pays too.
-    ranked = order_along_curves(classes, p) if n > 4 * p.window * p.curves else None
-    best, low, high = None, 0, p.window
-    n_open, is_open = asked.count(), asked.select("class")
-    while n_open:
-        windows = ranked is not None and 2 * high * p.curves < n
-        if windows:
-            rows = ranked.where("asked")
-            found = window_matches(ranked, rows.join(is_open, "class", "left_semi") if best is not None else rows, low, high, k)
-        else:
-            found = all_matches(classes, asked.join(is_open, "class", "left_semi"), n, n_open, k)
-        both = found.withColumn("new", F.lit(1))
-        both = both if best is None else both.unionByName(best.withColumn("new", F.lit(0)))
+    return by_groups(vectors.unionByName(queries), ["curve", "stretch"], lambda rows: _matches(rows, k, window, kind), "query long, class long, score double")
+
+
+def settled_matches(classes: DataFrame, p: Curves, k: int) -> DataFrame | None:
+    """query (class), class, score: each asked class's k closest classes, from rounds of new curves and doubled windows.
+
+    A round looks at as many vectors as all before it. A query that has k and whose k a round leaves as they are is settled; the others go on
+    until the windows of all rounds held as many vectors as there are. Vectors with structure settle after a few rounds; without any, a
+    query's share of the table is the same at every size.
+    """
+    spark, n = classes.sparkSession, classes.count()
+    kind = np.float32 if dict(classes.dtypes)["embedding"] == "array<float>" else np.float64
+    is_open = classes.where("asked").select("class")
+    best, turn, seen = None, 0, 0
+    while seen < n and not is_open.isEmpty():
+        window, home = p.window << turn, fresh_folder(spark, "curves")
+        ranked = order_along_curves(classes, p, turn, home)
+        asked = ranked.where("asked")
+        found = window_matches(ranked, asked.join(is_open, "class", "left_semi") if turn else asked, window, k, kind).withColumn("new", F.lit(1))
+        both = found if best is None else found.unionByName(best.withColumn("new", F.lit(0)))
         place = F.row_number().over(W.partitionBy("query").orderBy("score", "class"))
         merged = both.groupBy("query", "class").agg(F.min("score").alias("score"), F.min("new").alias("new")).withColumn("n", place)
         best = stored(merged.where(F.col("n") <= k).drop("n"), "best")
-        if not windows:
-            break
+        remove(spark, home)
         changed = best.groupBy(F.col("query").alias("class")).agg(F.max("new").alias("new"), F.count("*").alias("n"))
-        # A query whose windows held nothing is open too.
+        # A query whose windows held too little is open too.
         done = changed.where((F.col("new") == 0) & (F.col("n") == k)).select("class")
-        is_open = stored(is_open.join(done, "class", "left_anti"), "open")
-        best = best.drop("new")
-        n_open, low, high = is_open.count(), high, 2 * high
-    return best.select("query", "class", "score") if best is not None else None
+        is_open, best = stored(is_open.join(done, "class", "left_anti"), "open"), best.drop("new")
+        turn, seen = turn + 1, seen + 2 * window * p.curves
+    return best
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 10, p: Curves = Curves()) -> DataFrame:
     """query_id, rank from 1, vec_id, score: each query's k nearest found, by Euclidean distance, ties to the smaller vec_id.
 
-    Up to 4 * window * curves distinct vectors, every vector is looked at and the answer is exact; see `settled_matches` beyond.
+    Found through the windows of `settled_matches` only, whose recall is measured against brute force in the README.
 
     Queries are the rows for which `is_query` holds, candidates all rows but the query's own. Equal vectors are searched once and
     answered with their smallest ids, so copies neither fill windows nor tie at random. Null ids, null, zero or non-finite vectors and
