@@ -17,7 +17,7 @@ def components(links: DataFrame) -> DataFrame:
         before = now
         # Each node hangs its larger neighbours, and itself, on the smallest one around.
         around = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _hang(around, F.col("b") > F.col("a"))
+        large = stored(_hang(around, F.col("b") > F.col("a")), "large")
         # Then it hangs its smaller neighbours on the smallest of them.
         small = _hang(large, F.lit(True))
         links = stored(small.distinct(), "links")
@@ -28,7 +28,8 @@ def components(links: DataFrame) -> DataFrame:
 
 def _hang(pairs: DataFrame, which) -> DataFrame:
     """(neighbour, smallest) for the pairs chosen, and (node, smallest)."""
-    smallest = pairs.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
+    # Stored, so that the join deals out both of its sides anew and a hub's links can be split over tasks.
+    smallest = stored(pairs.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least")), "least")
     moved = pairs.where(which).join(smallest, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return moved.unionAll(smallest.select("a", F.col("least").alias("b"))).where("a <> b")
 

@@ -1,4 +1,5 @@
-"""Line deduplication: hash normalised lines, count the documents of each hash, drop frequent lines, put the rest together again."""
+"""Line deduplication: hash normalised lines with their positions, count the documents of each hash, drop frequent lines by position and put
+the rest of each text together again."""
 
 from __future__ import annotations
 
@@ -21,61 +22,79 @@ def line_key(line: bytes, least: int) -> tuple[int, int] | None:
     return (value >> 64) - (1 << 63), (value & (1 << 64) - 1) - (1 << 63)
 
 
-def line_hashes(docs: DataFrame, least: int) -> DataFrame:
-    """doc_id and the distinct keys of its lines, one row each."""
+def _marked(docs: DataFrame) -> DataFrame:
+    """doc_id, text and two 64-bit hashes of the text: rows that share all of them lose the same lines."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumns({"h1": F.xxhash64(text), "h2": F.xxhash64(F.lit(1), text)})
+
+
+def line_positions(docs: DataFrame, least: int) -> DataFrame:
+    """doc_id, h1, h2, high, low, positions: a row per distinct key of a text, with the positions of its lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, high, low = [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), raw(batch, "text"), strict=True):
-                keys = {k for line in text.split(b"\n") if (k := line_key(line, least)) is not None}
-                ids += [doc] * len(keys)
-                high += [k[0] for k in keys]
-                low += [k[1] for k in keys]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64())], ["doc_id", "high", "low"])
+            rows, high, low, positions = [], [], [], []
+            for row, text in enumerate(raw(batch, "text")):
+                found: dict[tuple[int, int], list[int]] = {}
+                for position, line in enumerate(text.split(b"\n")):
+                    if (key := line_key(line, least)) is not None:
+                        found.setdefault(key, []).append(position)
+                rows += [row] * len(found)
+                high += [k[0] for k in found]
+                low += [k[1] for k in found]
+                positions += found.values()
+            index = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(index) for c in ("doc_id", "h1", "h2")), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.array(positions, pa.list_(pa.int32()))],
+                ["doc_id", "h1", "h2", "high", "low", "positions"],
+            )
 
-    return docs.mapInArrow(run, "doc_id long, high long, low long")
+    return _marked(docs).mapInArrow(run, "doc_id long, h1 long, h2 long, high long, low long, positions array<int>")
 
 
 def lines_to_drop(docs: DataFrame, least: int, documents: int) -> DataFrame:
-    """doc_id, drop: the keys whose lines that document loses."""
-    lines = stored(line_hashes(docs, least).distinct(), "lines")
+    """doc_id, h1, h2, drop: the positions of the lines that a text loses, no more than it has lines."""
+    lines = stored(line_positions(docs, least), "lines")
     # max() passes over null ids, so a nameless document is never the one that keeps the line unless no other holds it.
-    frequent = lines.groupBy("high", "low").agg(F.count("*").alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= documents).drop("n")
+    holders = lines.select("high", "low", "doc_id").distinct().groupBy("high", "low")
+    frequent = holders.agg(F.count("*").alias("n"), F.max("doc_id").alias("last")).where(F.col("n") >= documents).drop("n")
     # Stored, so that the join deals out both of its sides anew and a line that very many documents hold can be split.
-    frequent = stored(frequent, "frequent")
-    lost = lines.join(frequent, ["high", "low"]).where(~F.col("doc_id").eqNullSafe(F.col("last")))
-    return lost.groupBy("doc_id").agg(F.collect_list(F.struct("high", "low")).alias("drop"))
+    lost = lines.join(stored(frequent, "frequent"), ["high", "low"]).where(~F.col("doc_id").eqNullSafe(F.col("last")))
+    # Rows that repeat an id and a text count once.
+    once = lost.groupBy("doc_id", "h1", "h2", "high", "low").agg(F.first("positions").alias("positions"))
+    return stored(once.groupBy("doc_id", "h1", "h2").agg(F.flatten(F.collect_list("positions")).alias("drop")), "drops")
 
 
 def drop_lines(docs: DataFrame, least: int = 20, documents: int = 3) -> DataFrame:
     """One row per input row: doc_id, text without the frequent lines, n_lines, n_dropped.
 
     Keys of at least `least` code points found in at least `documents` documents lose all their lines except in the largest doc_id that
-    holds them. Null or empty text is one empty line. Rows that share a doc_id count as one document and lose the same keys; all rows
-    without a doc_id count as one document that comes before all others. Extra columns are ignored.
+    holds them; the other lines are put together again in the order of their positions. Null or empty text is one empty line. Rows that
+    share a doc_id count as one document and lose the same keys; all rows without a doc_id count as one document that comes before all
+    others. Extra columns are ignored.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    drops = lines_to_drop(docs, least, documents).withColumnRenamed("doc_id", "of")
-    joined = docs.join(drops, F.col("doc_id").eqNullSafe(F.col("of")), "left").drop("of")
+    rows = _marked(docs)
+    drops = lines_to_drop(docs, least, documents).select(F.col("doc_id").alias("of"), F.col("h1").alias("g1"), F.col("h2").alias("g2"), "drop")
+    joined = rows.join(drops, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             drop = batch.column("drop")
-            starts, ends = drop.offsets.to_pylist()[:-1], drop.offsets.to_pylist()[1:]
-            high, low = (drop.values.field(k).to_pylist() for k in ("high", "low"))
+            offsets, positions = drop.offsets.to_pylist(), drop.values.to_pylist()
             texts, total, gone = [], [], []
-            for text, a, b in zip(raw(batch, "text"), starts, ends, strict=True):
-                lines = text.split(b"\n")
-                lost = set(zip(high[a:b], low[a:b], strict=True))
-                kept = [x for x in lines if line_key(x, least) not in lost] if lost else lines
-                texts.append(b"\n".join(kept))
+            for text, a, b in zip(raw(batch, "text"), offsets[:-1], offsets[1:], strict=True):
+                if a == b:
+                    texts.append(text)
+                    total.append(text.count(b"\n") + 1)
+                    gone.append(0)
+                    continue
+                lines, lost = text.split(b"\n"), set(positions[a:b])
+                texts.append(b"\n".join([line for position, line in enumerate(lines) if position not in lost]))
                 total.append(len(lines))
-                gone.append(len(lines) - len(kept))
+                gone.append(len(lost))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
                 ["doc_id", "text", "n_lines", "n_dropped"],
             )
 
-    return joined.mapInArrow(run, "doc_id long, text string, n_lines long, n_dropped long")
-
+    return joined.select("doc_id", "text", "drop").mapInArrow(run, "doc_id long, text string, n_lines long, n_dropped long")
