@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from quarterline.operators import folds
 from quarterline.operators.ranks import group_quantiles
@@ -16,9 +15,9 @@ FIVE_NUMBERS = {"low": 0.0, "q25": 0.25, "median": 0.5, "q75": 0.75, "high": 1.0
 
 
 def class_shares(df: DataFrame, label: str) -> DataFrame:
-    """(label, rows, share); the window runs over one row per class."""
+    """(label, rows, share)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.withColumn("share", F.col("rows") / F.sum("rows").over(W.partitionBy()))
+    return counts.withColumn("share", F.col("rows") / df.agg(F.count(F.lit(1))).scalar())
 
 
 def distinct_counts(named: dict[str, tuple[DataFrame, str]], rsd: float | None = None) -> DataFrame:
@@ -76,7 +75,7 @@ def count_histogram(df: DataFrame, count: str, needed: int = 2) -> DataFrame:
     bars = df.groupBy(count).agg(F.count(F.lit(1)).alias("firm_quarters"))
     return bars.withColumns(
         {
-            "pct": F.col("firm_quarters") * 100.0 / F.sum("firm_quarters").over(W.partitionBy()),
+            "pct": F.col("firm_quarters") * 100.0 / df.agg(F.count(F.lit(1))).scalar(),
             "labeled_distressed": F.col(count) >= needed,
         }
     )

@@ -345,7 +345,8 @@ def chi_square(df: DataFrame, dimension: str, label: str, labels: tuple = (0, 1)
     row_total = reduce(lambda a, b: a + b, [F.col(n) for n in names])
     cells = table.withColumn("_row", row_total).unpivot([dimension, "_row"], names, "_label", "n").where(F.col("_row") > 0)
     # One row per cell from here on: categories x labels.
-    sums = cells.withColumns({"_column": F.sum("n").over(W.partitionBy("_label")), "_total": F.sum("n").over(W.partitionBy())})
+    columns = cells.groupBy("_label").agg(F.sum("n").alias("_column"))
+    sums = cells.join(columns, "_label").withColumn("_total", cells.agg(F.sum("n")).scalar())
     sums = sums.where(F.col("_column") > 0)
     expected = F.col("_row") * F.col("_column") / F.col("_total")
     distance = F.abs(F.col("n") - expected)
@@ -364,7 +365,7 @@ def chi_square(df: DataFrame, dimension: str, label: str, labels: tuple = (0, 1)
 def disparate_impact(df: DataFrame, dimension: str, label: str) -> DataFrame:
     """Rate per group against the highest group rate; fair inside [0.8, 1.25]."""
     rates = df.where(F.col(dimension).isNotNull()).groupBy(F.col(dimension).alias("group")).agg(F.avg(label).alias("rate"))
-    share = F.coalesce(F.try_divide(F.col("rate"), F.max("rate").over(W.partitionBy())), F.lit(0.0))
+    share = F.coalesce(F.try_divide(F.col("rate"), rates.agg(F.max("rate")).scalar()), F.lit(0.0))
     rated = rates.withColumn("impact_ratio", share)
     return rated.select(F.lit(dimension).alias("dimension"), "group", "rate", "impact_ratio", F.col("impact_ratio").between(0.8, 1.25).alias("fair"))
 
