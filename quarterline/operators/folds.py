@@ -29,17 +29,21 @@ _TOP = np.uint64(1 << 63)
 Members = list[tuple[Column, Column]]
 
 
-def one_group(groups: list[str]) -> Members:
-    """The columns of a plain grouping as one dimension, whose slices are JSON."""
-    return [(F.lit(""), F.to_json(F.struct(*groups)) if groups else F.lit("{}"))]
+#: Times keep their microseconds.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
-def split_group(df: DataFrame, like: DataFrame, groups: list[str]) -> DataFrame:
-    """The slices of `one_group` as typed columns again."""
+def as_text(groups: list[str]) -> Column:
+    """The columns of a grouping as JSON, which `opened` turns back."""
+    return F.to_json(F.struct(*groups), _JSON) if groups else F.lit("{}")
+
+
+def opened(df: DataFrame, text: str, like: DataFrame, groups: list[str]) -> DataFrame:
+    """`df` with the columns of a grouping, with their types, in front and without the JSON that holds them."""
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in like.select(*groups).schema.fields)
-    opened = df.withColumn("_g", F.from_json("slice", kinds)) if groups else df
-    rest = [c for c in df.columns if c not in ("dimension", "slice")]
-    return opened.select(*[F.col(f"_g.`{g}`").alias(g) for g in groups], *rest)
+    rest = [c for c in df.columns if c != text]
+    parsed = df.withColumn("_g", F.from_json(text, kinds, _JSON)) if groups else df
+    return parsed.select(*[F.col(f"_g.`{g}`").alias(g) for g in groups], *rest)
 
 
 def _marked(df: DataFrame, members: Members, columns: list[str]) -> DataFrame:
@@ -425,8 +429,8 @@ def group_summaries(df: DataFrame, groups: list[str], columns: list[str], quanti
 
     (group, column) pairs without any value have no row.
     """
-    made = summaries(df, one_group(groups), columns, quantiles)
-    return None if made is None else split_group(made.where("present > 0"), df, groups)
+    made = summaries(df, [(F.lit(""), as_text(groups))], columns, quantiles)
+    return None if made is None else opened(made.where("present > 0").drop("dimension"), "slice", df, groups)
 
 
 def comoments(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -134,12 +134,8 @@ def _rated(folded: DataFrame, keys: list[str], bins: int) -> DataFrame:
 
 def pair_drift(long: DataFrame, groups: list[str], side: str, bins: int = 10) -> DataFrame:
     """PSI and JS distance between every two sides of each group, over their combined range: `long` has (groups, side, value)."""
-    made = _member_drift(long, [(F.to_json(F.struct(*groups)), F.col(side))], ["value"], bins)
-    if made is None:
-        return long_drift(long, groups, side, bins)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in long.select(*groups).schema.fields)
-    opened = made.withColumn("_g", F.from_json("dimension", kinds))
-    return opened.select(*[F.col(f"_g.`{g}`").alias(g) for g in groups], "slice_a", "slice_b", "psi", "js_divergence")
+    made = _member_drift(long, [(folds.as_text(groups), F.col(side))], ["value"], bins)
+    return long_drift(long, groups, side, bins) if made is None else folds.opened(made.drop("feature"), "dimension", long, groups)
 
 
 def _member_drift(df: DataFrame, members: folds.Members, columns: list[str], bins: int) -> DataFrame | None:

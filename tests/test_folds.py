@@ -74,6 +74,8 @@ def test_no_rows_and_no_values(spark, data):
 
 def test_group_columns_keep_their_types_and_nulls(spark):
     df = spark.createDataFrame([(1, "a", 1.0), (1, "a", 2.0), (2, None, 5.0), (None, "x\"y", 7.0)], "k int, t string, v double")
+    times = spark.sql("SELECT timestamp_ntz'2020-01-01 00:00:00.000001' + make_interval(0, 0, 0, 0, 0, 0, id / 1000000.0) AS at, double(id) AS v FROM range(3)")
+    assert folds.group_summaries(times, ["at"], ["v"], {"m": 0.5}).join(times, ["at"]).count() == 3
     got = folds.group_summaries(df, ["k", "t"], ["v"], {"m": 0.5})
     assert got.dtypes[:2] == [("k", "int"), ("t", "string")]
     assert {(r["k"], r["t"]): r["m"] for r in got.collect()} == {(1, "a"): 1.5, (2, None): 5.0, (None, 'x"y'): 7.0}
