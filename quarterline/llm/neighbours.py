@@ -4,7 +4,7 @@ Distinct vectors are projected on random directions, a few for each curve, shift
 Spark range-partitions the orderings; a query is compared with the `window` vectors before and after it on each curve, and the best of
 all curves are merged, ranked by exact distance. A round takes a few new curves and twice the window of the round before, so it looks at as
 many vectors as all rounds before it; a query takes part until a round leaves its nearest as they are, or the windows of all rounds held
-as many vectors as there are. Every vector is met through its place on a curve, at every size of the table.
+twice as many vectors as there are. Every vector is met through its place on a curve, at every size of the table.
 """
 
 from __future__ import annotations
@@ -215,14 +215,14 @@ def settled_matches(classes: DataFrame, p: Curves, k: int) -> DataFrame | None:
     """query (class), class, score: each asked class's k closest classes, from rounds of new curves and doubled windows.
 
     A round looks at as many vectors as all before it. A query that has k and whose k a round leaves as they are is settled; the others go on
-    until the windows of all rounds held as many vectors as there are. Vectors with structure settle after a few rounds; without any, a
+    until the windows of all rounds held twice as many vectors as there are. Vectors with structure settle after a few rounds; without any, a
     query's share of the table is the same at every size.
     """
     spark, n = classes.sparkSession, classes.count()
     kind = np.float32 if dict(classes.dtypes)["embedding"] == "array<float>" else np.float64
     is_open = classes.where("asked").select("class")
     best, turn, seen = None, 0, 0
-    while seen < n and not is_open.isEmpty():
+    while seen < 2 * n and not is_open.isEmpty():
         window, home = p.window << turn, fresh_folder(spark, "curves")
         ranked = order_along_curves(classes, p, turn, home)
         asked = ranked.where("asked")
