@@ -217,11 +217,11 @@ def display(spark, folder):
 
 @query(
     "p23_confidence_band",
-    ctes("scores") + f"SELECT o_orderkey, {r('greatest(score - 0.05, 0.0)', 6)} AS low, {r('least(score + 0.05, 1.0)', 6)} AS high FROM scores",
+    ctes("scores") + f"SELECT o_orderkey, {r('greatest(score - 0.05, 0.0)', 9)} AS low, {r('least(score + 0.05, 1.0)', 9)} AS high FROM scores",
 )
 def band(spark, folder):
     low, high = S.confidence_band(F.col("score"))
-    return X.scores(spark, folder).select("o_orderkey", F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
+    return X.scores(spark, folder).select("o_orderkey", F.round(low, 9).alias("low"), F.round(high, 9).alias("high"))
 
 
 _AMOUNT = "CASE o_orderstatus WHEN 'O' THEN o_totalprice * 10000.0 WHEN 'F' THEN -o_totalprice * 37.0 ELSE o_totalprice / 700.0 END"
