@@ -207,3 +207,11 @@ def test_byte_keys_sort_as_the_numbers_do():
     grid = np.random.default_rng(13).integers(0, 1 << 7, (500, 8))
     keys = neighbours.hilbert_keys(grid, 7)
     assert [int.from_bytes(x, "big") for x in neighbours.hilbert_bytes(grid, 7)] == keys.tolist()
+
+
+def test_contexts_are_chosen_from_all_counts(spark):
+    # "spread" is no task's frequent word: 5,000 words precede it in each of two texts, and it still has the largest count of all.
+    texts = [" ".join([w for i in range(5000) for w in [f"{part}{i}"] * 3] + ["spread"] * 2) for part in "ab"]
+    a, b = (spark.createDataFrame([(t,)], "text string").coalesce(1) for t in texts)
+    df = a.unionAll(b)
+    assert language_model.context_words(df, 1) == [b"spread"]
