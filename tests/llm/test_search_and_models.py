@@ -209,6 +209,18 @@ def test_byte_keys_sort_as_the_numbers_do():
     assert [int.from_bytes(x, "big") for x in neighbours.hilbert_bytes(grid, 7)] == keys.tolist()
 
 
+def test_all_trusted_documents_train_the_quality_model(spark, make, monkeypatch):
+    # More trusted documents than the 20,000 that a fit once took; each holds a gram or two.
+    n = 20_500
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("ab").alias("text"), F.lit("en").alias("lang"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    seen = []
+    counted = quality.gram_counts
+    monkeypatch.setattr(quality, "gram_counts", lambda texts: seen.append(texts.count()) or counted(texts))
+    fitted = quality.fit(docs, labels, quality.Quality())
+    assert seen == [n] and fitted is not None
+
+
 def test_contexts_are_chosen_from_all_counts(spark):
     # "spread" is no task's frequent word: 5,000 words precede it in each of two texts, and it still has the largest count of all.
     texts = [" ".join([w for i in range(5000) for w in [f"{part}{i}"] * 3] + ["spread"] * 2) for part in "ab"]
