@@ -94,6 +94,15 @@ def test_fills(spark):
     assert ahead == [0.0, 1.0, 1.0, 3.0, 3.0, 0.0, 0.0]
 
 
+def test_backward_fill_looks_at_a_partition_once(spark):
+    spec = WN.ordered(["firm_id"], ["t"])
+    df = spark.createDataFrame([("f", 1, None), ("f", 2, None), ("f", 3, 5.0), ("f", 4, None), ("g", 1, None)], "firm_id string, t int, v double")
+    filled = WN.fill_both_ways(df, ["v"], spec)
+    assert rows(filled) == [("f", 1, 5.0), ("f", 2, 5.0), ("f", 3, 5.0), ("f", 4, 5.0), ("g", 1, None)]
+    # A frame from the row to the end is read again for every row.
+    assert "currentrow$(), unboundedfollowing$()" not in filled._jdf.queryExecution().executedPlan().toString()
+
+
 def test_fill_by_date_is_global(spark):
     data = [(1, "2020-01-01", None), (2, "2020-01-02", 5.0), (3, "2020-01-02", None), (4, "2020-01-03", None), (5, None, None)]
     df = spark.createDataFrame(data, "k int, d string, v double").withColumn("d", F.to_date("d"))
