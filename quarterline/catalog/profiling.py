@@ -230,7 +230,7 @@ def _five_sql(table, group, columns):
 
 @query("g19_five_numbers_by_sector", ctes("features") + _five_sql("features", "sector_proxy", features.RATIOS))
 def five_by_sector(spark, folder):
-    view = features.add_ratios(features.statement_view(X.labeled_panel(spark, folder))).withColumn("sector_proxy", features.sector_proxy())
+    view = X.ratio_rows(spark, folder, "sector_proxy", *features.RATIOS)
     five = P.five_numbers(view, features.RATIOS, ["sector_proxy"])
     return five.withColumns({n: F.round(n, 4) for n in P.FIVE_NUMBERS})
 

@@ -43,7 +43,7 @@ _PANEL_BOUNDS = "bounds AS (SELECT " + ", ".join(
  SELECT firm_id, fiscal_year, fiscal_period, list_filter([{', '.join(f"CASE WHEN {c} < {c}_lo OR {c} > {c}_hi THEN '{c}' END" for c in _PANEL_NUM)}], lambda x: x IS NOT NULL) AS found FROM ratios, bounds) WHERE len(found) > 0""",
 )
 def panel_anomalies(spark, folder):
-    view = features.add_ratios(features.statement_view(X.labeled_panel(spark, folder)))
+    view = X.ratio_rows(spark, folder, *features.FIRM_QUARTER, *_PANEL_NUM)
     flagged = QU.flag_anomalies(view, _PANEL_NUM)
     return flagged.select(*features.FIRM_QUARTER, "anomaly_count", "anomaly_columns")
 
@@ -248,7 +248,7 @@ _SCALED = ["current_ratio", "debt_to_assets", "net_margin", "roa", "asset_turnov
     + f" FROM ratios, fit, fit2 WHERE {_SPLIT} IS NOT NULL",
 )
 def scale(spark, folder):
-    view = features.add_ratios(features.statement_view(X.labeled_panel(spark, folder)))
+    view = X.ratio_rows(spark, folder, *features.FIRM_QUARTER, *_SCALED)
     parts = SP.by_years(view, X.TRAIN_YEARS, X.VALIDATION_YEARS, X.TEST_YEARS)
     fitted = SP.fit_scaler(parts.where("split = 'train'"), _SCALED)
     scaled = SP.apply_scaler(parts, fitted)

@@ -167,3 +167,14 @@ def test_unpivot_keeps_null_values(spark):
 def test_histogram_edges(spark):
     df = spark.createDataFrame([(0.0,), (5.0,), (10.0,), (None,)], "x double")
     assert rows(P.histograms(df, ["x"], 10)) == [("x", 0, 1), ("x", 5, 1), ("x", 9, 1)]
+
+
+@pytest.mark.parametrize("name", ["q2_panel_anomalies", "l3_scale", "g19_five_numbers_by_sector"])
+def test_quantiles_read_stored_rows(spark, small, monkeypatch, name):
+    from quarterline.catalog.registry import QUERIES
+    from quarterline.operators import folds
+
+    read, summaries = [], folds.summaries
+    monkeypatch.setattr(folds, "summaries", lambda df, *a, **k: read.append(df.inputFiles()) or summaries(df, *a, **k))
+    QUERIES[name](spark, small)
+    assert read == [[]]
