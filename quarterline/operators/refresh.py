@@ -16,13 +16,12 @@ def refresh(stored: DataFrame, fetched: DataFrame, owner: list[str], period: lis
     Owners that were not fetched stay as they are.
     """
     newest = last_periods(stored, owner, period, n)
-    fetched_owners = fetched.select(*owner).distinct()
-    untouched = stored.join(fetched_owners, owner, "left_anti")
-    touched = stored.join(fetched_owners, owner, "left_semi")
-    kept = touched.join(newest, [*owner, *period], "left_anti")
+    # The periods that leave are a few rows per owner; stored rows meet them in one join.
+    gone = newest.join(fetched.select(*owner).distinct(), owner, "left_semi")
+    kept = stored.join(gone, [*owner, *period], "left_anti")
     kept_periods = kept.select(*owner, *period).distinct()
     incoming = fetched.join(kept_periods, [*owner, *period], "left_anti")
-    return keep_newer_source(untouched.unionByName(kept), incoming, keys, ties)
+    return keep_newer_source(kept, incoming, keys, ties)
 
 
 def quarterly_last(series: DataFrame, owner: list[str], date: str, value: str, ties: list[Column]) -> DataFrame:

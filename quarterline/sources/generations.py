@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from quarterline.session import exists, remove, subfolders
-from quarterline.sources.tables import bucket_of, spread_over
+from quarterline.sources.tables import bucket_of, dealt_over
 
 MAP = "bucket int, generation long"
 
@@ -69,7 +69,7 @@ def rewrite(rows: DataFrame, batch: int, path: str, keys: list[str], merge: Call
         stored = read_buckets(spark, path, rows.schema, {b: g for b, g in held.items() if b in touched})
         merged = merge(stored, marked.drop("bucket")).select(*rows.columns).withColumn("bucket", bucket_of(keys, buckets))
         target = f"{path}/rows/generation={batch}"
-        spread_over(merged, ["bucket"]).write.mode("overwrite").partitionBy("bucket").parquet(target)
+        dealt_over(merged, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(target)
     finally:
         marked.unpersist()
     written = {int(n.split("=")[1]) for n in subfolders(spark, target) if n.startswith("bucket=")}

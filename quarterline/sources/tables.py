@@ -34,12 +34,13 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> D
         return spark.createDataFrame([], schema)
 
 
-def read_keyed_folders(spark: SparkSession, path: str, key: str) -> DataFrame:
+def read_keyed_folders(spark: SparkSession, path: str, key: str, inside: StructType | None = None) -> DataFrame:
     """Files under `<key>=<id>/`: the folder names the key as text (leading zeros stay) and overrides the file.
 
-    The key is a partition column, so its value comes back decoded and a filter on it skips folders.
+    The key is a partition column, so its value comes back decoded and a filter on it skips folders. Where the schema of the files is known,
+    `inside` spares a listing of all folders.
     """
-    inside = spark.read.option("recursiveFileLookup", True).parquet(path).schema
+    inside = spark.read.option("recursiveFileLookup", True).parquet(path).schema if inside is None else inside
     schema = StructType([*(f for f in inside if f.name != key), StructField(key, StringType())])
     return read_table(spark, path, schema).where(F.col(key).isNotNull())
 
@@ -86,6 +87,15 @@ def spread_over(df: DataFrame, partition: list[str]) -> DataFrame:
     return df.repartitionByRange(*partition, F.xxhash64(*others))
 
 
+def dealt_over(df: DataFrame, bucket: str, pieces: int = 16) -> DataFrame:
+    """Hash on a bucket and a piece of it: at most `pieces` files per bucket, no task with a hot one. For a bounded number of buckets.
+
+    Ranges would be found by a pass over the rows, which makes all that leads to them twice.
+    """
+    others = [c for c in df.columns if c != bucket]
+    return df.repartition(bucket, F.pmod(F.xxhash64(*others), F.lit(pieces)))
+
+
 def write_daily(df: DataFrame, path: str, day: str, cluster: list[str]) -> None:
     """Day partitions clustered by the given columns."""
     write_partitioned(df.withColumn(day, F.to_date(day)), path, [day], cluster)
@@ -103,7 +113,7 @@ def bucket_of(keys: list[str], buckets: int) -> Column:
 def write_hash_buckets(df: DataFrame, path: str, key: str, buckets: int = 256, kind: str = "parquet") -> None:
     """A folder per hash bucket of the key, which stays in the files: as many folders for millions of keys as for a thousand."""
     marked = df.withColumn("bucket", bucket_of([key], buckets))
-    spread_over(marked, ["bucket"]).sortWithinPartitions("bucket", key).write.mode("overwrite").partitionBy("bucket").format(kind).save(path)
+    dealt_over(marked, "bucket").sortWithinPartitions("bucket", key).write.mode("overwrite").partitionBy("bucket").format(kind).save(path)
 
 
 def read_hash_buckets(spark: SparkSession, path: str, schema: str, key: str, buckets: int = 256, value: str | None = None, kind: str = "parquet") -> DataFrame:

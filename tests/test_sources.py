@@ -201,3 +201,21 @@ def test_a_folder_with_a_file_name_is_read_as_the_file(spark, tmp_path):
     spark.range(3).repartition(2).write.parquet(str(tmp_path / "in" / "series_id=GDP.parquet"))
     spark.range(2).write.parquet(str(tmp_path / "in" / "other.parquet"))
     assert rows(T.read_keyed_files(spark, str(tmp_path / "in"), "series_id").groupBy("series_id").count()) == [("GDP", 3)]
+
+
+def test_buckets_are_dealt_without_a_pass_for_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", lambda *a: pytest.fail("finding ranges makes the rows twice"))
+    df = spark.range(2000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    T.write_hash_buckets(df, str(tmp_path / "b"), "k", 4)
+    assert rows(T.read_hash_buckets(spark, str(tmp_path / "b"), "k string, id long", "k", 4)) == rows(df)
+    # Rows of one key lie in several pieces of its bucket.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    dealt = T.dealt_over(df.where("k = 'hot'").withColumn("bucket", F.lit(1)), "bucket").select(F.spark_partition_id()).distinct().count()
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert dealt > 1
+
+
+def test_keyed_folders_with_a_known_schema_are_listed_once(spark, tmp_path):
+    df = spark.createDataFrame([("01", 1), ("02", 2)], "k string, v int")
+    df.write.partitionBy("k").parquet(str(tmp_path / "f"))
+    assert rows(T.read_keyed_folders(spark, str(tmp_path / "f"), "k", df.schema).select("k", "v")) == [("01", 1), ("02", 2)]
