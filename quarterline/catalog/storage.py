@@ -38,7 +38,7 @@ def keyed_folders(spark, folder):
     path = fresh_folder(spark, "facts")
     rows = X.latest_facts(spark, folder).select("firm_id", "fiscal_year", "fiscal_period", "tag", "value")
     T.write_partitioned(rows, path, ["firm_id"], ["fiscal_year", "fiscal_period", "tag"])
-    return T.read_keyed_folders(spark, path, "firm_id").select("firm_id", "fiscal_year", "fiscal_period", "tag", "value")
+    return T.read_keyed_folders(spark, path, "firm_id", rows.schema).select("firm_id", "fiscal_year", "fiscal_period", "tag", "value")
 
 
 @query("a7_json_lines", ctes("scores") + "SELECT o_orderkey, firm_id, score, label, fiscal_year, fiscal_period FROM scores")
