@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from llm_fixtures import edges, empty, make  # noqa: F401
 from quarterline.llm import language_id, language_model, neighbours, quality
@@ -227,3 +228,29 @@ def test_contexts_are_chosen_from_all_counts(spark):
     a, b = (spark.createDataFrame([(t,)], "text string").coalesce(1) for t in texts)
     df = a.unionAll(b)
     assert language_model.context_words(df, 1) == [b"spread"]
+
+
+@pytest.mark.parametrize("share", [7, 60, 2000])
+def test_contexts_are_the_same_from_the_words_that_tasks_pass_on(make, monkeypatch, share):
+    rng = random.Random(5)
+    texts = [" ".join(f"w{min(int(rng.paretovariate(0.7)), 400)}" for _ in range(300)) for _ in range(40)]
+    docs = make(list(enumerate(texts))).repartition(4, "doc_id")
+    n = Counter(w.encode() for t in texts for w in t.split())
+    monkeypatch.setattr(language_model, "SHARE", share)
+    for k in (1, 5, 31, 1000):
+        assert language_model.context_words(docs, k) == sorted(n, key=lambda w: (-n[w], w))[:k]
+    passed = language_model._word_counts(docs, 7).where("word IS NOT NULL").count()
+    assert 0 < passed <= 4 * 7 < len(n)
+
+
+def test_customers_follow_each_text_from_its_start(make):
+    texts = ["b a x a y", "", None, "x", " ".join(["z", "b"] * 60_000), "y b"]
+    contexts = [b"a", b"b"]
+    expected = Counter()
+    for t in texts:
+        c = 0
+        for w in [*(t or "").encode().split(), b"\n"]:
+            expected[w, c] += 1
+            c = contexts.index(w) + 1 if w in contexts else c
+    found = {(r.word, c): k for r in language_model.customers(make(list(enumerate(texts))), contexts).collect() for c, k in zip(r.contexts, r.counts)}
+    assert {(bytes(w), c): k for (w, c), k in found.items()} == dict(expected)
