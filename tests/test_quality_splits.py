@@ -153,6 +153,13 @@ def test_neighbours_over_many_blocks_are_mostly_the_nearest(spark):
     assert len(got) == 900 * 5 and len(got & nearest(xy, 5)) / len(got) > 0.9
 
 
+def test_rows_are_sent_about_once_a_direction(spark):
+    """Both cuts share a stretch of blocks: 8,000 rows along four directions are sent 4.2 times each at most, where it was eight times."""
+    points = spark.range(8000).select(F.col("id").alias("_row"), F.array(F.rand(1), F.rand(2)).alias("_x"))
+    dealt = BA._dealt(points, (0, 16), 32, 4, 42).groupBy("_turn").agg(F.count("*"), F.count_distinct("_row")).collect()
+    assert len(dealt) == 4 and all(8000 == distinct <= n <= 1.05 * 8000 for _, n, distinct in dealt)
+
+
 def test_alignment_and_indicators(spark):
     df = spark.createDataFrame([(1, 2.0, None), (2, None, "x")], "k int, a double, c string")
     assert rows(R.aligned(df, ["k"], ["a", "b"])) == [(1, 2.0, 0.0), (2, 0.0, 0.0)]
