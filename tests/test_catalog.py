@@ -74,3 +74,9 @@ def test_results_do_not_depend_on_partitioning(spark, small):
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() == 10
+
+
+def test_balance_checks_send_the_ranges_to_the_rows(spark, small):
+    """Joined by label the rows would meet in two tasks."""
+    plan = plan_of(spark, small, "l5_balance_checks")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
