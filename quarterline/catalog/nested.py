@@ -10,14 +10,16 @@ from quarterline.catalog.sqlparts import ctes, quarter_end_of, r
 from quarterline.functions import quarters as Q
 from quarterline.operators import lookups as L
 from quarterline.operators import nested as N
+from quarterline.sources import tables as T
 
 _SHAP = [f"shap_{c}" for c in X.ATTRIBUTED]
 
 
-def documents(spark, folder):
+def documents(spark, folder, buckets=None):
     """Company documents (map of tags to map of units to entries), one per firm and block of a thousand orders.
 
-    An order has a handful of lines, so no document can grow with the data, however large its firm is.
+    An order has a handful of lines, so no document can grow with the data, however large its firm is. With `buckets` a document comes with
+    the bucket of its firm: facts are dealt by it once, as narrow rows, and their documents are made and landed where they are.
     """
     entry = F.struct(
         F.when(F.col("fiscal_period") == "Q4", "10-K").when(F.col("l_linenumber") == 7, "8-K").otherwise("10-Q").alias("form"),
@@ -29,12 +31,15 @@ def documents(spark, folder):
         F.date_format("filed_date", "yyyy-MM-dd").alias("filed"),
         F.concat(F.lit("L"), F.col("l_orderkey").cast("string")).alias("frame"),
     )
-    facts = X.facts(spark, folder).withColumn("block", F.floor(F.col("l_orderkey") / 1000))
-    entries = facts.groupBy("firm_id", "block", "tag").agg(F.collect_list(entry).alias("entries"))
+    facts, block, keys = X.facts(spark, folder), F.floor(F.col("l_orderkey") / 1000), ["firm_id", "block"]
+    if buckets:
+        facts, keys = T.dealt_by_key(facts, "firm_id", block, buckets), ["bucket", "piece", *keys]
+    facts = facts.withColumn("block", block)
+    entries = facts.groupBy(*keys, "tag").agg(F.collect_list(entry).alias("entries"))
     body = F.struct(F.create_map(F.lit("USD"), F.col("entries")).alias("units"))
-    per_firm = entries.groupBy("firm_id", "block").agg(F.map_from_entries(F.collect_list(F.struct("tag", body))).alias("tags"))
+    per_firm = entries.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("tag", body))).alias("tags"))
     doc = F.to_json(F.struct(F.create_map(F.lit("us-gaap"), F.col("tags")).alias("facts")), {"ignoreNullFields": "true"})
-    return per_firm.select("firm_id", doc.alias("doc"))
+    return per_firm.select("firm_id", doc.alias("doc"), *(["bucket"] if buckets else []))
 
 
 _FORM = "CASE WHEN fiscal_period = 'Q4' THEN '10-K' WHEN l_linenumber = 7 THEN '8-K' ELSE '10-Q' END"

@@ -164,7 +164,7 @@ def companies(spark, folder):
 def raw_documents(spark, folder):
     """Raw documents land in hash buckets of their firm, with its id in the file, and are flattened from there."""
     path = fresh_folder(spark, "documents")
-    T.write_hash_buckets(documents(spark, folder), path, "firm_id", 64, kind="json")
+    T.write_hash_buckets(documents(spark, folder, 64), path, "firm_id", 64, kind="json", dealt=True)
     landed = T.read_hash_buckets(spark, path, "firm_id string, doc string", "firm_id", 64, kind="json")
     return flatten_facts(landed).groupBy("firm_id").agg(F.count(F.lit(1)).alias("facts"))
 

@@ -110,10 +110,20 @@ def bucket_of(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def write_hash_buckets(df: DataFrame, path: str, key: str, buckets: int = 256, kind: str = "parquet") -> None:
-    """A folder per hash bucket of the key, which stays in the files: as many folders for millions of keys as for a thousand."""
-    marked = df.withColumn("bucket", bucket_of([key], buckets))
-    dealt_over(marked, "bucket").sortWithinPartitions("bucket", key).write.mode("overwrite").partitionBy("bucket").format(kind).save(path)
+def dealt_by_key(df: DataFrame, key: str, within: Column, buckets: int, pieces: int = 16) -> DataFrame:
+    """Rows dealt by the key's bucket and a piece of it by `within`, then given both, `bucket` and `piece`: groups by these, key and within need no more exchange."""
+    bucket, piece = bucket_of([key], buckets), F.pmod(F.xxhash64(within), F.lit(pieces))
+    return df.repartition(bucket, piece).withColumns({"bucket": bucket, "piece": piece})
+
+
+def write_hash_buckets(df: DataFrame, path: str, key: str, buckets: int = 256, kind: str = "parquet", dealt: bool = False) -> None:
+    """A folder per hash bucket of the key, which stays in the files: as many folders for millions of keys as for a thousand.
+
+    `dealt`: the rows come with their bucket and as `dealt_by_key` left them, so they aren't sent again. JSON is compressed.
+    """
+    rows = df if dealt else dealt_over(df.withColumn("bucket", bucket_of([key], buckets)), "bucket")
+    writer = rows.sortWithinPartitions("bucket", key).write.mode("overwrite").partitionBy("bucket")
+    (writer.option("compression", "gzip") if kind == "json" else writer).format(kind).save(path)
 
 
 def read_hash_buckets(spark: SparkSession, path: str, schema: str, key: str, buckets: int = 256, value: str | None = None, kind: str = "parquet") -> DataFrame:

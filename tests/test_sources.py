@@ -219,3 +219,22 @@ def test_keyed_folders_with_a_known_schema_are_listed_once(spark, tmp_path):
     df = spark.createDataFrame([("01", 1), ("02", 2)], "k string, v int")
     df.write.partitionBy("k").parquet(str(tmp_path / "f"))
     assert rows(T.read_keyed_folders(spark, str(tmp_path / "f"), "k", df.schema).select("k", "v")) == [("01", 1), ("02", 2)]
+
+
+def test_documents_are_dealt_once_and_land_compressed(spark, small, tmp_path):
+    from quarterline.catalog.nested import documents
+
+    df = documents(spark, small, 8)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and sorted(rows(df.drop("bucket")))[0] is not None
+    path = str(tmp_path / "d")
+    T.write_hash_buckets(df, path, "firm_id", 8, kind="json", dealt=True)
+    files = [f.name for f in (tmp_path / "d").glob("bucket=*/part-*")]
+    assert files and all(name.endswith(".json.gz") for name in files)
+    landed = T.read_hash_buckets(spark, path, "firm_id string, doc string", "firm_id", 8, kind="json")
+    assert landed.count() == documents(spark, small).count() == documents(spark, small).select("firm_id", "doc").distinct().count()
+    one = landed.first()["firm_id"]
+    found = T.read_hash_buckets(spark, path, "firm_id string, doc string", "firm_id", 8, one, "json")
+    assert found.count() == landed.where(F.col("firm_id") == one).count() > 0
+    entries = lambda d: N.flatten_facts(d).count()
+    assert entries(landed) == entries(documents(spark, small))
